@@ -238,7 +238,7 @@ ORACLES = {
     "exact_count": sql("SELECT count(*) AS unique_trades FROM (SELECT DISTINCT symbol, trade_id FROM trades)"),
     "exact_volume": sql("""
         SELECT symbol, count(*) AS trades, sum(quantity) AS volume,
-               CAST(sum(price * quantity) AS DECIMAL(38,8)) AS turnover
+               CAST(sum(CAST(price AS DECIMAL(28,8)) * CAST(quantity AS DECIMAL(10,2))) AS DECIMAL(38,8)) AS turnover
         FROM kept GROUP BY symbol""", WINNERS),
     "merged_rows": sql("""
         SELECT symbol, trade_id, price, quantity, trade_time,

@@ -20,7 +20,7 @@ def minute_price(trades: DataFrame, unit: str = "minute") -> DataFrame:
 
 
 def moving_averages(trades: DataFrame, sizes=MOVING_AVERAGE_SIZES, unit: str = "minute",
-                    scale: int = 18) -> DataFrame:
+                    scale: int = 17) -> DataFrame:
     """Bucket means with one rolling mean per size, all from a single sort.
 
     Each frame is the current bucket and the N before it, so N+1 rows. Frames count buckets:
@@ -29,20 +29,21 @@ def moving_averages(trades: DataFrame, sizes=MOVING_AVERAGE_SIZES, unit: str = "
 
     Every mean is the difference of two running sums, so a frame of 1440 buckets costs no more than
     one of 15. The sums are decimals with ``scale`` digits: differences of doubles would drift, and
-    with 18 digits the result equals the double average to its last place or so.
+    with 17 digits the result equals the double average to its last place or so.
     """
     w = Window.partitionBy("symbol").orderBy("time")
-    total = F.sum(F.col("price").cast(T.DecimalType(38, scale))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    money = T.DecimalType(27, scale)  # summed (37) and subtracted (38), it keeps every digit
+    total = F.sum(F.col("price").cast(money)).over(w.rowsBetween(Window.unboundedPreceding, 0))
     buckets = minute_price(trades, unit).withColumns({"_total": total, "_rank": F.row_number().over(w)})
     means = {}
     for n in sizes:
-        earlier = F.coalesce(F.lag("_total", n + 1).over(w), F.lit(0).cast(T.DecimalType(38, scale)))
+        earlier = F.coalesce(F.lag("_total", n + 1).over(w), F.lit(0).cast(money))
         rows = F.least(F.col("_rank"), F.lit(n + 1))
         means[f"ma_{n}"] = (F.col("_total") - earlier).cast("double") / rows
     return buckets.withColumns(means).drop("_total", "_rank")
 
 
-def moving_average(trades: DataFrame, size: int = 60, unit: str = "minute", scale: int = 18) -> DataFrame:
+def moving_average(trades: DataFrame, size: int = 60, unit: str = "minute", scale: int = 17) -> DataFrame:
     """(time, symbol, moving_avg) for one size."""
     return moving_averages(trades, [size], unit, scale).select(
         "time", "symbol", F.col(f"ma_{size}").alias("moving_avg"))

@@ -43,7 +43,7 @@ def append_checks(checks: DataFrame, path: str, as_of=None) -> None:
 
 
 def read_checks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHECKS).parquet(path)
+    return spark.read.schema(STORED_CHECKS).parquet(path).drop("check_date")
 
 
 def rewrite_retained(spark: SparkSession, path: str, target: str, as_of=None, days: int = RETENTION_DAYS) -> None:
