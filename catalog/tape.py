@@ -56,9 +56,9 @@ def keep_live(history: DataFrame) -> DataFrame:
 
 def redeliver(live: DataFrame) -> DataFrame:
     """Adds the second deliveries, in one pass over the rows."""
-    later = F.col("ingested_at") + F.expr("INTERVAL 5 SECONDS")
-    writes = F.when(F.col("quantity") >= 90, F.array("ingested_at", later)).otherwise(F.array("ingested_at"))
-    return live.withColumn("ingested_at", F.explode(writes)).select(*TRADES.names)
+    delays = F.when(F.col("quantity") >= 90, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
+    written = F.col("ingested_at") + F.col("_delay") * F.expr("INTERVAL 1 SECOND")
+    return live.withColumn("_delay", F.explode(delays)).withColumn("ingested_at", written).select(*TRADES.names)
 
 
 def history(spark, sf_dir) -> DataFrame:
@@ -103,30 +103,30 @@ def daily_candles(spark, sf_dir) -> DataFrame:
 
 def check_log(spark, sf_dir) -> DataFrame:
     """A check log as an hourly monitor would have written it: one cycle at the end of each traded hour."""
-    tape = dense_trades(spark, sf_dir).withColumn(
-        "checked_at", F.date_trunc("hour", "trade_time") + F.expr("INTERVAL 1 HOUR"))
-    hours = tape.groupBy("checked_at", "symbol").agg(
+    hour_end = (F.date_trunc("hour", "trade_time") + F.expr("INTERVAL 1 HOUR")).alias("checked_at")
+    age = seconds_between(F.col("newest"), F.col("checked_at"))
+
+    def entry(name, symbol, bad, label, value):
+        return F.struct(F.lit(name).alias("check_name"), symbol.alias("symbol"),
+                        F.when(bad, F.lit(label)).otherwise(F.lit("OK")).alias("status"),
+                        value.cast("double").alias("value"))
+
+    overall = trades(spark, sf_dir).groupBy(hour_end).agg(F.max("trade_time").alias("newest")).select(
+        F.inline(F.array(entry("freshness", F.lit("ALL"), age > 600, "STALE", age))), "checked_at")
+
+    hours = dense_trades(spark, sf_dir).groupBy(hour_end, "symbol").agg(
         F.max("trade_time").alias("newest"),
         (F.max("trade_id") - F.min("trade_id") + 1 - F.countDistinct("trade_id")).alias("missing"))
-    age = seconds_between(F.col("newest"), F.col("checked_at"))
-    overall = hours.groupBy("checked_at").agg(F.max("newest").alias("newest"))
-
-    def rows(df, name, symbol, status, value):
-        return df.select(F.lit(name).alias("check_name"), symbol.alias("symbol"), status.alias("status"),
-                         value.cast("double").alias("value"), "checked_at")
-
-    def status(bad, label):
-        return F.when(bad, F.lit(label)).otherwise(F.lit("OK"))
-
-    lost = history(spark, sf_dir).filter((F.col("quantity") < 3) | (F.hour("trade_time") == 3))
-    healed = lost.groupBy(
-        (F.date_trunc("hour", "trade_time") + F.expr("INTERVAL 1 HOUR")).alias("checked_at"), "symbol").agg(
-        F.count(F.lit(1)).alias("n"))
-    return (rows(overall, "freshness", F.lit("ALL"), status(age > 600, "STALE"), age)
-            .unionByName(rows(hours, "symbol_stall", F.col("symbol"), status(age > 1800, "STALLED"), age))
-            .unionByName(rows(hours, "trade_gap", F.col("symbol"), status(F.col("missing") > 0, "GAP_DETECTED"),
-                              F.col("missing")))
-            .unionByName(rows(healed, "backfill", F.col("symbol"), F.lit("BACKFILLED"), F.col("n"))))
+    missing, symbol = F.col("missing"), F.col("symbol")
+    per_symbol = hours.select(F.inline(F.array(
+        entry("symbol_stall", symbol, age > 1800, "STALLED", age),
+        entry("trade_gap", symbol, missing > 0, "GAP_DETECTED", missing))), "checked_at")
+
+    lost = as_trades(table(spark, sf_dir, "events")).filter(
+        (F.col("quantity") < 3) | (F.hour("trade_time") == 3))
+    healed = lost.groupBy(hour_end, "symbol").agg(F.count(F.lit(1)).alias("n")).select(
+        F.inline(F.array(entry("backfill", symbol, F.lit(True), "BACKFILLED", F.col("n")))), "checked_at")
+    return overall.unionByName(per_symbol).unionByName(healed)
 
 
 def order_tape(spark, sf_dir) -> DataFrame:

@@ -29,20 +29,35 @@ def gap_ranges(trades: DataFrame, symbols=None, as_of=None, window=HEAL_WINDOW,
     """(symbol, gap_start, gap_end, missing) for every hole between two ids of the lookback.
 
     Ids are grouped by (symbol, id div bucket): one shuffle, duplicates dropped before it, at most
-    ``bucket`` ids per group however hot the symbol. A window over the buckets, thousands of times
-    fewer than ids, hands each its predecessor's last id, so holes across bucket edges are found too.
-    The first id of a symbol has no predecessor and never opens a gap.
+    ``bucket`` ids per group however hot the symbol. Holes inside a bucket show in its sorted ids.
+    Holes between buckets need only each bucket's first and last id; those are compared inside
+    blocks of ``bucket`` buckets, and the blocks' first and last ids along the symbol. The first id
+    of a symbol has no predecessor and never opens a gap.
     """
+    size = int(bucket)
     ids = _recent(trades, symbols, as_of, window).select(
-        "symbol", "trade_id", F.expr(f"trade_id div {int(bucket)}").alias("bucket"))
-    runs = ids.groupBy("symbol", "bucket").agg(F.array_sort(F.collect_set("trade_id")).alias("ids"))
-    before = F.lag(F.element_at("ids", -1)).over(Window.partitionBy("symbol").orderBy("bucket"))
-    runs = runs.withColumn("before", before)
-    runs = runs.withColumn("ids", F.when(F.col("before").isNull(), F.col("ids")).otherwise(
-        F.concat(F.array("before"), "ids")))
+        "symbol", "trade_id", F.expr(f"trade_id div {size}").alias("bucket"))
+    runs = ids.groupBy("symbol", "bucket").agg(F.collect_set("trade_id").alias("ids"))
+
+    run = runs.select("symbol", F.array_sort("ids").alias("ids"))
     steps = F.zip_with("ids", F.slice("ids", F.lit(2), F.size("ids")), lambda left, right: F.struct(
-        (left + 1).alias("gap_start"), (right - 1).alias("gap_end"), (right - left - 1).alias("missing")))
-    return runs.select("symbol", F.inline(F.filter(steps, lambda step: step["missing"] > 0)))
+        left.alias("before"), right.alias("after")))
+    inside = run.select("symbol", F.inline(F.filter(steps, lambda s: s["after"] - s["before"] > 1)))
+
+    ends = runs.select(
+        "symbol", "bucket", F.expr(f"bucket div {size}").alias("block"),
+        F.array_min("ids").alias("first"), F.array_max("ids").alias("last")).repartition("symbol", "block")
+    between = ends.select("symbol", F.lag("last").over(
+        Window.partitionBy("symbol", "block").orderBy("bucket")).alias("before"), F.col("first").alias("after"))
+
+    blocks = ends.groupBy("symbol", "block").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    across = blocks.select("symbol", F.lag("last").over(
+        Window.partitionBy("symbol").orderBy("block")).alias("before"), F.col("first").alias("after"))
+
+    neighbours = inside.unionByName(between).unionByName(across).filter(F.col("after") - F.col("before") > 1)
+    return neighbours.select(
+        "symbol", (F.col("before") + 1).alias("gap_start"), (F.col("after") - 1).alias("gap_end"),
+        (F.col("after") - F.col("before") - 1).alias("missing"))
 
 
 def plan_heal(gaps: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:

@@ -62,14 +62,15 @@ def value_counts(df: DataFrame, column: str, width: int = 1 << 14) -> DataFrame:
     """(bin, v, n): rows per integer value, laid out by bins of ``width`` neighbouring values."""
     value = F.col(column).cast("long")
     counts = df.filter(value.isNotNull()).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("bin", F.floor(F.col("v") / width)).repartition("bin")
+    # The null test is the one the joins below would infer; stated here, every reader shares one shuffle.
+    return counts.withColumn("bin", F.floor(F.col("v") / width)).filter("bin IS NOT NULL").repartition("bin")
 
 
 def quantiles_of(counts: DataFrame, quantiles) -> DataFrame:
     """Exact interpolated quantiles ``(q, value)`` from value counts, never gathering them in one place.
 
-    Running totals over the bins, a tiny table, say which bin holds each wanted rank; only those
-    bins are opened.
+    Running totals over the bins, a tiny table, say which bin holds each wanted rank and how many
+    rows come before it; running totals inside the bins, at most ``width`` values each, say where.
     """
     bins = counts.groupBy("bin").agg(F.sum("n").alias("n"))
     running = bins.select(
@@ -86,11 +87,10 @@ def quantiles_of(counts: DataFrame, quantiles) -> DataFrame:
     wanted = running.select("bin", (F.col("upto") - F.col("n")).alias("before"), "upto", F.inline(asked)).filter(
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
 
-    opened = counts.join(wanted.select("bin", "before").distinct(), "bin")
     inside = Window.partitionBy("bin").orderBy("v")
-    opened = opened.select("bin", "v", "n", (F.col("before") + F.sum("n").over(inside)).alias("v_upto"))
-    found = wanted.join(opened, "bin").filter(
-        (F.col("rank") < F.col("v_upto")) & (F.col("rank") >= F.col("v_upto") - F.col("n")))
+    values = counts.select("bin", "v", "n", F.sum("n").over(inside).alias("v_upto"))
+    place = F.col("rank") - F.col("before")
+    found = wanted.join(values, "bin").filter((place < F.col("v_upto")) & (place >= F.col("v_upto") - F.col("n")))
     low = F.max(F.when(~F.col("upper"), F.col("v")))
     high = F.max(F.when(F.col("upper"), F.col("v")))
     return found.groupBy("q").agg((low + (high - low) * F.max("part")).alias("value"))
