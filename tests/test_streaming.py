@@ -1,0 +1,138 @@
+"""The streaming writer, replay, peaks, bounded dedup and lag, against the batch answers."""
+
+import json
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from tapekeeper.operators.dedup import dedup_latest
+from tapekeeper.operators.peaks import peak_merge, peak_partial
+from tapekeeper.schema import TRADES
+from tapekeeper.sinks.tables import compact, read_stored, write_batch
+from tapekeeper.sources.frames import parse_frames
+from tapekeeper.sources.tables import read_trades, scan_trades
+from tapekeeper.streaming.trades import dedup_stream, peak_stream, stream_lag, write_trades
+from tests.helpers import NOW, ids_of, tape_of, trade, tuples
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    """Three files of trades: repeats across files, and one very late row."""
+    folder = str(tmp_path / "source")
+    parts = [
+        [trade("A", 1, "5"), trade("A", 2, "6"), trade("B", 1, "2")],
+        [trade("A", 2, "6", written="2024-03-01 12:00:05"), trade("A", 3, "4")],
+        [trade("B", 2, "3", time="2024-02-20 08:00:00", written="2024-03-01 12:00:09"), trade("A", 1, "5")],
+    ]
+    for rows in parts:
+        tape_of(spark, *rows).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def stream(spark, folder, files=1):
+    return read_trades(spark, "parquet", TRADES, path=folder, maxFilesPerTrigger=files)
+
+
+def test_writer_equals_batch_and_resumes(spark, source, tmp_path):
+    out, marks, partials = (str(tmp_path / n) for n in ("out", "marks", "peaks"))
+    run = lambda: write_trades(stream(spark, source), out, marks, flush=None, peaks_path=partials).awaitTermination()
+    run()
+    batch = spark.read.schema(TRADES).parquet(source)
+    assert tuples(read_stored(spark, out)) == tuples(dedup_latest(batch))
+    assert tuples(peak_merge(spark.read.parquet(partials).select("symbol", "peak"))) == tuples(peak_partial(batch))
+    assert scan_trades(spark, out).count() == 7
+    run()  # nothing new: the checkpoint already holds these offsets
+    assert scan_trades(spark, out).count() == 7
+    ids_of(spark, "C", [1]).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert scan_trades(spark, out).count() == 8
+
+
+def test_replayed_batch_changes_nothing(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    batch = spark.read.schema(TRADES).parquet(source)
+    write_batch(batch, out, 4)
+    write_batch(ids_of(spark, "C", [1]), out, 5)
+    before = tuples(scan_trades(spark, out))
+    write_batch(batch, out, 4)
+    assert tuples(scan_trades(spark, out)) == before
+
+
+def test_lost_checkpoint_replays_everything_without_double_counting(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    for marks in ("first", "second"):
+        write_trades(stream(spark, source), out, str(tmp_path / marks), flush=None).awaitTermination()
+    assert read_stored(spark, out).count() == 5
+
+
+def test_later_batch_wins_equal_versions(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write_batch(tape_of(spark, trade("A", 1, "9")), out, 1)
+    write_batch(tape_of(spark, trade("A", 1, "3")), out, 2)
+    assert read_stored(spark, out).first()["price"] == 3
+
+
+def test_compaction_keeps_the_view(spark, source, tmp_path):
+    out, packed = str(tmp_path / "out"), str(tmp_path / "packed")
+    write_trades(stream(spark, source), out, str(tmp_path / "marks"), flush=None).awaitTermination()
+    compact(spark, out, packed)
+    assert tuples(read_stored(spark, packed)) == tuples(read_stored(spark, out))
+    assert scan_trades(spark, packed).count() == 5
+
+
+def test_scan_prunes_days(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    write_batch(spark.read.schema(TRADES).parquet(source), out, 0)
+    recent = scan_trades(spark, out, NOW, "15 minutes")
+    assert recent.count() == 6
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "trade_date" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_bad_frames_are_set_aside(spark, tmp_path):
+    folder, out, bad = (str(tmp_path / n) for n in ("frames", "out", "bad"))
+    good = {"e": "trade", "s": "A", "t": 1, "p": "1.5", "q": "2", "T": 1709294340123}
+    lines = [json.dumps(good), json.dumps({"data": {**good, "t": 2}}), "junk", json.dumps({**good, "p": "NaN"})]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(folder)
+    raw = read_trades(spark, "text", "value string", path=folder)
+    write_trades(parse_frames(raw, "value"), out, str(tmp_path / "marks"), flush=None,
+                 quarantine_path=bad).awaitTermination()
+    assert [r.trade_id for r in read_stored(spark, out).orderBy("trade_id").collect()] == [1, 2]
+    assert sorted(r.reason for r in spark.read.parquet(bad).collect()) == ["bad price", "not a JSON object"]
+
+
+def test_live_peak(spark, source, tmp_path):
+    query = (peak_stream(stream(spark, source)).writeStream.outputMode("complete").format("memory")
+             .queryName("live_peaks").option("checkpointLocation", str(tmp_path / "marks"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert tuples(spark.table("live_peaks")) == [("A", 6.0), ("B", 3.0)]
+
+
+def test_bounded_dedup(spark, source, tmp_path):
+    query = (dedup_stream(stream(spark, source), "30 days").writeStream.format("memory").queryName("deduped")
+             .option("checkpointLocation", str(tmp_path / "marks")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert sorted((r.symbol, r.trade_id) for r in spark.table("deduped").collect()) == [
+        ("A", 1), ("A", 2), ("A", 3), ("B", 1), ("B", 2)]
+
+
+def test_lag_per_topic_partition(spark):
+    progress = {"sources": [
+        {"description": "KafkaV2[Subscribe[trades]]", "endOffset": {"trades": {"0": 10, "1": 7}},
+         "latestOffset": {"trades": {"0": 15, "1": 7, "2": 4}}},
+        {"description": "files", "endOffset": {"logOffset": 3}, "latestOffset": None}]}
+    rows = tuples(stream_lag(spark, progress).drop("source"))
+    assert rows == [("trades", 0, 10, 15, 5), ("trades", 1, 7, 7, 0), ("trades", 2, 0, 4, 4)]
+
+
+def test_lag_of_a_real_query_without_partitions(spark, source, tmp_path):
+    query = write_trades(stream(spark, source, 10), str(tmp_path / "o"), str(tmp_path / "m"), flush=None)
+    query.awaitTermination()
+    assert stream_lag(spark, query.lastProgress).count() == 0
+
+
+def test_kafka_source_needs_its_package_and_files_need_a_schema(spark):
+    with pytest.raises(ValueError):
+        read_trades(spark, "parquet", path="/nowhere")
