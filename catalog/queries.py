@@ -440,8 +440,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def events_stream(spark, sf) -> DataFrame:
     from tapekeeper.sources.tables import read_trades
-    schema = tape.table(spark, sf, "events").schema
-    events = read_trades(spark, "parquet", schema, path=f"{sf}/[e]vents.parquet")  # a pattern, so one file may be the table
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = read_trades(spark, "parquet", tape.SCHEMAS["events"], path=f"{sf}/[e]vents.parquet")  # a pattern, so one file may be the table
     return tape.redeliver(tape.keep_live(tape.as_trades(events)))
 
 

@@ -26,11 +26,17 @@ class HealCycle(NamedTuple):
 
 
 def run_heal(trades: DataFrame, history: DataFrame | None, symbols=None, as_of=None, window=HEAL_WINDOW,
-             max_gap: int = MAX_GAP) -> HealCycle:
-    """Find gaps, skip the oversized, fetch the rest from history and audit it. No history: DISABLED."""
+             max_gap: int = MAX_GAP, pin: bool = False) -> HealCycle:
+    """Find gaps, skip the oversized, fetch the rest from history and audit it. No history: DISABLED.
+
+    ``pin`` checkpoints the plan (to the session's checkpoint folder), so that rows and audit, when
+    run one after the other, agree on a tape that keeps growing, and gaps are searched once.
+    """
     if history is None:
         return HealCycle(None, None, heal_disabled(trades.sparkSession))
     plan = plan_heal(gap_ranges(trades, symbols, as_of, window), max_gap)
+    if pin:
+        plan = plan.checkpoint()
     healed = heal(plan, history)
     return HealCycle(plan, stamp(healed, as_of), heal_audit(plan, healed))
 

@@ -1,5 +1,7 @@
 """Writing the stored tables: micro-batches of trades, the check log, and their rewrites."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapekeeper.functions.time import instant, span
@@ -8,6 +10,18 @@ from tapekeeper.operators.dedup import dedup_latest
 from tapekeeper.schema import CHECKS, KEY, RETENTION_DAYS, STORED_CHECKS, STORED_TRADES, TRADES
 
 
+@contextmanager
+def plain_timestamps(spark: SparkSession):
+    """While open, parquet writes keep min/max of timestamps, so time filters can skip row groups."""
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_batch(trades: DataFrame, path: str, batch_id: int, as_of=None) -> None:
     """Write one batch so that writing it again changes nothing.
 
@@ -18,9 +32,10 @@ def write_batch(trades: DataFrame, path: str, batch_id: int, as_of=None) -> None
     stamped = trades if "ingested_at" in trades.columns else trades.withColumn("ingested_at", instant(as_of))
     rows = stamped.select(*TRADES.names).withColumns(
         {"trade_date": F.to_date("trade_time"), "batch_id": F.lit(batch_id).cast("long")})
-    (rows.hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "batch_id", *KEY)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("trade_date", "batch_id").parquet(path))
+    rows = rows.hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "batch_id", *KEY)
+    with plain_timestamps(trades.sparkSession):
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("trade_date", "batch_id").parquet(path))
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:

@@ -13,19 +13,22 @@ MAGIC = "00"
 def parse_frames(df: DataFrame, column: str = "raw") -> DataFrame:
     """Trade frames as typed rows plus ``reason``; frames of any other kind are left out.
 
-    The payload may sit under ``data`` or be the frame itself. Read as string maps, because ``t``
-    and ``T`` are two fields that a case-insensitive struct cannot tell apart. Text that is no JSON
-    object comes out with a reason.
+    The payload may sit under ``data`` or be the frame itself. ``json_tuple`` reads all keys in one
+    pass and, unlike a case-insensitive struct, tells ``t`` from ``T``. Text that is no JSON object
+    comes out with a reason; only frames without a kind are looked at again to find that out.
     """
-    as_map = "map<string,string>"
-    outer = F.from_json(F.col(column), as_map)
-    frames = df.select(F.col(column).alias("raw"), outer.alias("_outer"))
-    inner = F.from_json(F.col("_outer")["data"], as_map)
-    frames = frames.select("raw", F.coalesce(inner, F.col("_outer")).alias("_body"))
-    wanted = frames.filter(F.col("_body").isNull() | (F.col("_body")["e"] == "trade"))
-    fields = [F.col("_body")[key].alias(name) for name, key in FRAME_KEYS.items()]
-    raw = wanted.select(*fields, F.when(F.col("_body").isNull(), F.lit("not a JSON object")).alias(REASON), "raw")
-    return type_trades(raw, keep=["raw"])
+    keys = {"kind": "e", **FRAME_KEYS}
+    outer = df.select(F.col(column).alias("raw"), F.json_tuple(column, "data", *keys.values()).alias(
+        "_data", *[f"_outer_{name}" for name in keys]))
+    both = outer.select("*", F.json_tuple("_data", *keys.values()).alias(*[f"_inner_{name}" for name in keys]))
+    wrapped = F.coalesce(F.startswith("_data", F.lit("{")), F.lit(False))
+    fields = both.select("raw", *[
+        F.when(wrapped, F.col(f"_inner_{name}")).otherwise(F.col(f"_outer_{name}")).alias(name) for name in keys])
+    is_object = F.from_json("raw", "map<string,string>").isNotNull()
+    broken = F.when(F.col("kind").isNull(), ~is_object).otherwise(F.lit(False))
+    wanted = fields.withColumn("_broken", broken).filter((F.col("kind") == "trade") | F.col("_broken"))
+    return type_trades(wanted.withColumn(
+        REASON, F.when(F.col("_broken"), F.lit("not a JSON object"))), keep=["raw"])
 
 
 def split_envelope(df: DataFrame, column: str = "value") -> DataFrame:
@@ -62,16 +65,18 @@ def decode_trades(df: DataFrame, schemas: dict[int, str], column: str = "value",
     payload gets a reason instead of stopping the stream.
     """
     opened = split_envelope(df, column)
-    record, known = F.lit(None), F.lit(False)
+    empty = F.lit(None).cast("struct<" + ",".join(f"{name}:string" for name in TRADE_MESSAGE.names) + ">")
+    record, known = empty, F.lit(False)
     for schema_id, schema in schemas.items():
-        body = decode(F.col("payload"), schema)
-        fields = F.struct(*[body[name].cast("string").alias(name) for name in TRADE_MESSAGE.names])
-        here = F.col("reason").isNull() & (F.col("schema_id") == schema_id)
-        record = F.when(here, F.when(body.isNotNull(), fields)).otherwise(record)
+        here = F.col(REASON).isNull() & (F.col("schema_id") == schema_id)
+        fields = F.transform(F.array(decode(F.col("payload"), schema)), lambda body: F.when(
+            body.isNotNull(), F.struct(*[body[name].cast("string").alias(name) for name in TRADE_MESSAGE.names])))
+        record = F.when(here, fields[0]).otherwise(record)
         known = known | (F.col("schema_id") == schema_id)
-    opened = opened.withColumn("_record", record)
-    reason = F.coalesce(F.col("reason"), first_reason(
-        (~known, "unknown schema id"), (F.col("_record").isNull(), "undecodable payload")))
+    # Exploding the one record makes it a value: filters on its fields do not decode it again.
+    opened = opened.withColumn("_known", known).select("*", F.explode(F.array(record)).alias("_record"))
+    reason = F.coalesce(F.col(REASON), first_reason(
+        (~F.col("_known"), "unknown schema id"), (F.col("_record").isNull(), "undecodable payload")))
     raw = opened.select(*[F.col(f"_record.{name}").alias(name) for name in TRADE_MESSAGE.names],
                         reason.alias(REASON), F.col(column).alias("raw"))
     return type_trades(raw, keep=["raw"])

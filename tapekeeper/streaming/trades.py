@@ -21,8 +21,11 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
     source. With ``peaks_path`` each batch also leaves its peak partials, with ``quarantine_path``
     its unusable rows. No watermark: rows may arrive at any age.
     """
+    several = peaks_path is not None or quarantine_path is not None
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        if several:
+            batch = batch.persist()  # read once per target; lost blocks are recomputed from the source
         try:
             good, bad = split_valid(batch) if REASON in batch.columns else (batch, None)
             write_batch(good, path, batch_id)
@@ -31,7 +34,8 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
             if quarantine_path is not None and bad is not None:
                 _overwrite_batch(bad, quarantine_path, batch_id)
         finally:
-            batch.unpersist()
+            if several:
+                batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if flush is None else writer.trigger(processingTime=flush)

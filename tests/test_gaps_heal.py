@@ -104,6 +104,14 @@ def test_heal_then_check_finds_nothing(spark):
     assert again.count() == 39
 
 
+def test_a_pinned_plan_gives_the_same_rows_and_audit(spark):
+    history = ids_of(spark, "A", range(1, 40))
+    tape = ids_of(spark, "A", [1, 2, 9, 30])
+    lazy, pinned = run_heal(tape, history, as_of=NOW), run_heal(tape, history, as_of=NOW, pin=True)
+    assert tuples(pinned.rows) == tuples(lazy.rows)
+    assert tuples(pinned.audit) == tuples(lazy.audit)
+
+
 def test_oversized_gap_is_skipped_and_not_audited(spark):
     tape = ids_of(spark, "A", [1, 100]).union(ids_of(spark, "B", [1, 3]))
     history = ids_of(spark, "A", range(1, 101)).union(ids_of(spark, "B", range(1, 4)))
