@@ -53,17 +53,22 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
 def append_checks(checks: DataFrame, path: str, as_of=None) -> None:
     """Append check rows to the log, stamped with one time, one folder per day."""
     rows = checks.withColumn("checked_at", instant(as_of)).select(*CHECKS.names)
-    (rows.withColumn("check_date", F.to_date("checked_at")).hint("rebalance")  # few rows: joined into one file
-         .write.mode("append").partitionBy("check_date").parquet(path))
+    rows = rows.withColumn("check_date", F.to_date("checked_at")).hint("rebalance")  # few rows: joined into one file
+    with plain_timestamps(checks.sparkSession):
+        rows.write.mode("append").partitionBy("check_date").parquet(path)
 
 
-def read_checks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_CHECKS).parquet(path).drop("check_date")
+def read_checks(spark: SparkSession, path: str, as_of=None, days: int | None = None) -> DataFrame:
+    """The check log; with ``days`` only rows that recent, and only their day folders are read."""
+    stored = spark.read.schema(STORED_CHECKS).parquet(path)
+    if days is not None:
+        first_day = F.to_date(instant(as_of) - span(f"{days} days"))
+        stored = retain(stored.filter(F.col("check_date") >= first_day), as_of, days)
+    return stored.drop("check_date")
 
 
 def rewrite_retained(spark: SparkSession, path: str, target: str, as_of=None, days: int = RETENTION_DAYS) -> None:
     """Copy the check rows still within retention to a new place; expired day folders are not read."""
-    stored = spark.read.schema(STORED_CHECKS).parquet(path)
-    first_day = F.to_date(instant(as_of) - span(f"{days} days"))
-    kept = retain(stored.filter(F.col("check_date") >= first_day), as_of, days)
-    kept.write.mode("errorifexists").partitionBy("check_date").parquet(target)
+    kept = read_checks(spark, path, as_of, days).withColumn("check_date", F.to_date("checked_at"))
+    with plain_timestamps(spark):
+        kept.hint("rebalance", "check_date").write.mode("errorifexists").partitionBy("check_date").parquet(target)

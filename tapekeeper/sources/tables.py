@@ -10,7 +10,9 @@ def read_trades(spark: SparkSession, source: str, schema=None, **options) -> Dat
     """An unbounded stream of messages, from the earliest, resuming where its checkpoint left off.
 
     ``source`` is ``"kafka"`` (options as that connector takes them; needs its package) or a file
-    format with ``path`` and an explicit ``schema``.
+    format with ``path`` and an explicit ``schema``. Batches close on size or time: for Kafka set
+    ``minOffsetsPerTrigger`` with ``maxTriggerDelay`` and cap them with ``maxOffsetsPerTrigger``;
+    for files cap them with ``maxFilesPerTrigger`` and set the writer's flush interval.
     """
     reader = spark.readStream.format(source)
     if source == "kafka":

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .getOrCreate())

@@ -29,7 +29,7 @@ def test_ranges_equal_brute_force_for_any_bucket(spark, bucket):
     assert tuples(gap_ranges(tape, window=None, bucket=bucket)) == want
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(ids=st.lists(st.integers(0, 90), min_size=1, max_size=40), bucket=st.sampled_from([2, 5, 64]))
 def test_closed_form_equals_sum_of_ranges_and_of_lag(spark, ids, bucket):
     tape = ids_of(spark, "A", ids)

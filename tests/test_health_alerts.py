@@ -113,6 +113,7 @@ def test_log_append_and_retention(spark, tmp_path):
     append_checks(run_health(tape, ["A"], NOW), path, NOW)
     assert read_checks(spark, path).count() == 6
     assert alerts.retain(read_checks(spark, path), NOW).count() == 3
+    assert read_checks(spark, path, NOW, days=30).count() == 3
     rewrite_retained(spark, path, kept, NOW)
     rows = read_checks(spark, kept).collect()
     assert len(rows) == 3
