@@ -7,7 +7,7 @@ from tapekeeper.functions.time import since
 from tapekeeper.schema import GAP_WINDOW, HEAL_WINDOW, MAX_GAP, PAGE_SIZE
 
 # Ids per gap-search bucket: bounds both the array a group can build and the work of one row.
-BUCKET = 8192
+BUCKET = 1024
 
 
 def _recent(trades: DataFrame, symbols, as_of, window) -> DataFrame:
