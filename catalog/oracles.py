@@ -358,7 +358,10 @@ ORACLES = {
     "topic_rows": sql("SELECT symbol AS key, payload AS value FROM msgs", MESSAGES),
 
     "stream_write": sql("SELECT * FROM kept", WINNERS),
-    "stream_peaks": sql("SELECT symbol, CAST(max(price) AS DOUBLE) AS peak FROM trades GROUP BY symbol"),
+    "stream_peaks": sql("""
+        SELECT symbol, max(peak) AS peak FROM (
+          SELECT * FROM seed UNION ALL SELECT symbol, CAST(max(price) AS DOUBLE) FROM trades GROUP BY symbol)
+        GROUP BY symbol""", DAILY),
     "stream_dedup": sql("SELECT symbol, count(*) AS rows FROM kept GROUP BY symbol", WINNERS),
     "stored_scan": sql(f"SELECT * FROM trades WHERE {RECENT}"),
     "stored_checks": sql(f"SELECT *, {NOW} AS checked_at FROM ({HEALTH})"),

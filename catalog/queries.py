@@ -455,11 +455,12 @@ def stream_write(spark, sf):
 
 @query
 def stream_peaks(spark, sf):
-    """Peaks merged from the partials each micro-batch left behind."""
+    """The peak table after seeding it and streaming the whole tape past it."""
     out = scratch(spark, "peaks")
+    tables.write_peaks(peaks.peak_seed(records.from_klines(tape.daily_candles(spark, sf))), f"{out}/peaks")
     streaming.write_trades(events_stream(spark, sf), f"{out}/trades", f"{out}/offsets", flush=None,
                            peaks_path=f"{out}/peaks").awaitTermination()
-    return peaks.peak_merge(spark.read.parquet(f"{out}/peaks").select("symbol", "peak"))
+    return tables.read_peaks(spark, f"{out}/peaks")
 
 
 @query

@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tapekeeper.functions.time import instant, span
 from tapekeeper.operators.alerts import retain
 from tapekeeper.operators.dedup import dedup_latest
-from tapekeeper.schema import CHECKS, KEY, RETENTION_DAYS, STORED_CHECKS, STORED_TRADES, TRADES
+from tapekeeper.operators.peaks import peak_merge
+from tapekeeper.schema import CHECKS, KEY, PEAKS, RETENTION_DAYS, STORED_CHECKS, STORED_TRADES, TRADES
+
+# Batch number of the peak seed; streams number their batches from 0.
+SEED_BATCH = -1
 
 
 @contextmanager
@@ -27,7 +31,8 @@ def write_batch(trades: DataFrame, path: str, batch_id: int, as_of=None) -> None
 
     Rows go to (trade_date, batch_id) folders and replace only those. Late rows land in their own
     day. The rebalance lets Spark split a day that holds most of the batch and join small ones; the
-    sort gives row groups tight id ranges.
+    sort gives row groups tight id ranges. Streams number their batches from 0; other writers, such
+    as a healing cycle, take negative numbers of their own, so nobody replaces another's rows.
     """
     stamped = trades if "ingested_at" in trades.columns else trades.withColumn("ingested_at", instant(as_of))
     rows = stamped.select(*TRADES.names).withColumns(
@@ -50,6 +55,27 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     write_batch(kept, target, batch_id=0)
 
 
+def overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write rows as one batch folder, replacing only that batch."""
+    (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def write_peaks(partials: DataFrame, path: str, batch_id: int = SEED_BATCH) -> None:
+    """Add peak partials to the state table; without a batch number they are the seed, replaced when seeded again."""
+    overwrite_batch(partials.select(*PEAKS.names), path, batch_id)
+
+
+def read_peaks(spark: SparkSession, path: str) -> DataFrame:
+    """All-time peak per symbol: the only way to read the state table."""
+    return peak_merge(spark.read.schema(PEAKS).parquet(path))
+
+
+def compact_peaks(spark: SparkSession, path: str, target: str) -> None:
+    """Rewrite the state table to a new place with one row per symbol."""
+    write_peaks(read_peaks(spark, path), target)
+
+
 def append_checks(checks: DataFrame, path: str, as_of=None) -> None:
     """Append check rows to the log, stamped with one time, one folder per day."""
     rows = checks.withColumn("checked_at", instant(as_of)).select(*CHECKS.names)

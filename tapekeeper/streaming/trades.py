@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapekeeper.operators.peaks import peak_partial
 from tapekeeper.schema import KEY
-from tapekeeper.sinks.tables import write_batch
+from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_peaks
 from tapekeeper.sources.intake import REASON, split_valid
 
 
@@ -30,9 +30,9 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
             good, bad = split_valid(batch) if REASON in batch.columns else (batch, None)
             write_batch(good, path, batch_id)
             if peaks_path is not None:
-                _overwrite_batch(peak_partial(good), peaks_path, batch_id)
+                write_peaks(peak_partial(good), peaks_path, batch_id)
             if quarantine_path is not None and bad is not None:
-                _overwrite_batch(bad, quarantine_path, batch_id)
+                overwrite_batch(bad, quarantine_path, batch_id)
         finally:
             if several:
                 batch.unpersist()
@@ -42,11 +42,6 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
     return writer.start()
 
 
-def _overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-
-
 def peak_stream(stream: DataFrame) -> DataFrame:
     """Continuously maintained peak per symbol; run it in update or complete mode. State: one number per symbol."""
     return peak_partial(stream)

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapekeeper.operators.dedup import dedup_latest
-from tapekeeper.operators.peaks import peak_merge, peak_partial
+from tapekeeper.operators.peaks import peak_partial
 from tapekeeper.schema import TRADES
-from tapekeeper.sinks.tables import compact, read_stored, write_batch
+from tapekeeper.plans.cycles import run_heal
+from tapekeeper.sinks.tables import compact, compact_peaks, read_peaks, read_stored, write_batch, write_peaks
 from tapekeeper.sources.frames import parse_frames
 from tapekeeper.sources.tables import read_trades, scan_trades
 from tapekeeper.streaming.trades import dedup_stream, peak_stream, stream_lag, write_trades
@@ -40,7 +41,7 @@ def test_writer_equals_batch_and_resumes(spark, source, tmp_path):
     run()
     batch = spark.read.schema(TRADES).parquet(source)
     assert tuples(read_stored(spark, out)) == tuples(dedup_latest(batch))
-    assert tuples(peak_merge(spark.read.parquet(partials).select("symbol", "peak"))) == tuples(peak_partial(batch))
+    assert tuples(read_peaks(spark, partials)) == tuples(peak_partial(batch))
     assert scan_trades(spark, out).count() == 7
     run()  # nothing new: the checkpoint already holds these offsets
     assert scan_trades(spark, out).count() == 7
@@ -73,6 +74,27 @@ def test_later_batch_wins_equal_versions(spark, tmp_path):
     assert read_stored(spark, out).first()["price"] == 3
 
 
+def test_seeded_peaks(spark, tmp_path):
+    path, packed = str(tmp_path / "peaks"), str(tmp_path / "packed")
+    seed = spark.createDataFrame([("A", 9.0), ("B", 1.0)], "symbol string, peak double")
+    for _ in range(2):
+        write_peaks(seed, path)
+        write_peaks(peak_partial(tape_of(spark, trade("A", 1, "5"), trade("B", 1, "2"))), path, 0)
+    assert tuples(read_peaks(spark, path)) == [("A", 9.0), ("B", 2.0)]
+    compact_peaks(spark, path, packed)
+    assert tuples(read_peaks(spark, packed)) == [("A", 9.0), ("B", 2.0)]
+    assert spark.read.parquet(path).count() == 4 and spark.read.parquet(packed).count() == 2
+
+
+def test_healed_rows_join_the_stored_tape(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write_batch(ids_of(spark, "A", [1, 2, 6]), out, 0)
+    cycle = run_heal(scan_trades(spark, out), ids_of(spark, "A", range(1, 9)), as_of=NOW, pin=True)
+    for _ in range(2):
+        write_batch(cycle.rows, out, -7)
+    assert [r.trade_id for r in read_stored(spark, out).orderBy("trade_id").collect()] == [1, 2, 3, 4, 5, 6]
+
+
 def test_compaction_keeps_the_view(spark, source, tmp_path):
     out, packed = str(tmp_path / "out"), str(tmp_path / "packed")
     write_trades(stream(spark, source), out, str(tmp_path / "marks"), flush=None).awaitTermination()
