@@ -1,12 +1,15 @@
 """The registered queries of this subpackage: each applies one operator to its whole table."""
 
+import functools
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tapekeeper.llm import exact_dedup, packing, simhash
-from tapekeeper.llm.shared import written
+from tapekeeper.llm import exact_dedup, langid, packing, piece_tokens, quality, simhash, toxicity
+from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
+from tapekeeper.llm.training import examples
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,8 +28,15 @@ SCHEMAS = {
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register under the function's name; the executors get this package first."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,11 +52,60 @@ def packed(docs: DataFrame) -> DataFrame:
         "sequence_id", "offset", "cut_before", "cut_after")
 
 
+# Most labelled rows a model is fitted on; for languages, of each.
+SAMPLE, SAMPLE_PER_LANGUAGE = 8000, 1000
+
+# Toxic rows with at least this expected severity are rejected: half way to grade 1.
+REJECTED_SEVERITY = 0.5
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Severity:
+    """Fitted on a sample of the labelled rows of ``docs``: grade 0 is not toxic; toxic rows are 2 if they hold more
+    words typical of toxic rows than most of them do, else 1."""
+    labels = table(spark, sf_dir, "labels").filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    sample = sample_rows(labels, "doc_id", SAMPLE).select(F.col("doc_id").alias("id"), "label")
+    rows = examples(docs, sample, toxicity.word_presence)
+    toxic = np.array([r.label > 0 for r in rows], bool)
+    places, z = toxicity.telling_places(rows, toxic)
+    typical = places[z > 0]
+    hits = np.array([np.isin(r.places, typical).sum() for r in rows])
+    heavy = hits > np.median(hits[toxic]) if toxic.any() else toxic
+    return toxicity.fit_severity(rows, places, toxic.astype(int) + (toxic & heavy))
+
+
+@query
+def op1_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score_severity(docs, toxicity_model(spark, docs, sf))
+    return scored.select(F.col("id").alias("doc_id"), "severity", "grade", (F.col("severity") >= REJECTED_SEVERITY).alias("rejected"))
+
+
 @query
 def op2_packing(spark, sf):
     return packed(table(spark, sf, "documents"))
 
 
+# Of four parts of the documents, the one that is never learned from; and of three, for quality.
+LANGUAGE_PARTS, LANGUAGE_HELD, QUALITY_PARTS, QUALITY_HELD = 4, 2, 3, 1
+
+
+def language_model(docs: DataFrame) -> langid.Languages:
+    """Fitted on at most 1,000 texts of each language, none of them of the held-out part."""
+    known = docs.filter("lang is not null and doc_id is not null").filter(
+        split_of(plain("doc_id"), LANGUAGE_PARTS) != LANGUAGE_HELD).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    sample = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= SAMPLE_PER_LANGUAGE).drop("nth")
+    return langid.fit_languages(examples(docs, sample, langid.subwords))
+
+
+@query
+def op4_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = langid.predict_languages(docs, language_model(docs))
+    held = F.coalesce(split_of(plain("id"), LANGUAGE_PARTS) == LANGUAGE_HELD, F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op5_exact_dedup(spark, sf):
     marked = exact_dedup.mark_copies(table(spark, sf, "documents"))
@@ -58,3 +117,23 @@ def op8_simhash(spark, sf):
     groups = simhash.group_near_copies(table(spark, sf, "documents"), SHINGLE, RADIUS)
     return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
                          "component_id")
+
+
+@query
+def op9_piece_tokens(spark, sf):
+    coded = piece_tokens.encode_pieces(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").filter("quality is not null").filter(
+        split_of(plain("doc_id"), QUALITY_PARTS) != QUALITY_HELD).groupBy("doc_id").agg(F.max("quality").alias("label"))
+    sample = sample_rows(labels, "doc_id", SAMPLE).select(F.col("doc_id").alias("id"), "label")
+    model = quality.fit_ftrl(examples(docs, sample, quality.ngrams))
+    held = F.coalesce(split_of(plain("id"), QUALITY_PARTS) == QUALITY_HELD, F.lit(False))
+    return quality.score_quality(docs, model).select(
+        F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

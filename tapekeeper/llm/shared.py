@@ -3,7 +3,9 @@
 import re
 import tempfile
 import uuid
+import zipfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,6 +27,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once per application, as ``--py-files`` would."""
+    if spark.sparkContext.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as target:
+            for file in sorted(package.rglob("*.py")):
+                target.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(spark.sparkContext.applicationId)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: later steps reread it, so a lost executor costs no recomputation."""
     path = shared_folder(df.sparkSession, name)
