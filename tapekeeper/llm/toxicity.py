@@ -1,13 +1,14 @@
 """Toxicity as an ordered severity: a cumulative-link regression on the hashed words of a text."""
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tapekeeper.llm.shared import WORDS, WordHashes, plain, sigmoid, text_of
+from tapekeeper.llm.shared import REMEMBERED, WORDS, WordHashes, plain, sigmoid, text_of
 from tapekeeper.llm.training import Example, stacked
 
 # Hash places of words.
@@ -22,12 +23,33 @@ class Severity(NamedTuple):
     thresholds: np.ndarray
 
 
+# Letters of the word beginnings that are features beside the words, so that other forms of a word count too.
+BEGINNINGS = (4, 5)
+
+
+class WordPlaces(dict):
+    """word -> the places of the word and its beginnings, of those in ``among`` if that is given."""
+
+    def __init__(self, among=None):
+        super().__init__()
+        self.among, self.hashes = among, WordHashes()
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        names = [word, *(f"{word[:n]}~" for n in BEGINNINGS if len(word) >= n)]
+        places = {self.hashes[name] % PLACES for name in names}
+        self[word] = found = tuple(sorted(places if self.among is None else places & self.among))
+        return found
+
+
 def word_presence():
-    """A function from a text to the places of its distinct lower-cased words; every value is 1."""
-    hashes = WordHashes()
+    """A function from a text to the places of its distinct lower-cased words and their beginnings; every value is 1."""
+    places_of = WordPlaces()
 
     def of(text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = np.unique(np.array([hashes[w] % PLACES for w in set(WORDS.findall(text.lower()))], np.int64))
+        words = set(WORDS.findall(text.lower()))
+        found = np.array(sorted(set(chain.from_iterable(map(places_of.__getitem__, words)))), np.int64)
         return found, np.ones(len(found))
 
     return of
@@ -92,21 +114,13 @@ def score_severity(docs: DataFrame, model: Severity, id_column: str = "doc_id",
     weight = dict(zip(model.places.tolist(), model.weights.tolist()))
     thresholds, grades = model.thresholds, len(model.thresholds)
 
-    class PlaceOf(WordHashes):
-        """word -> its place if the model has a weight for it, else -1."""
-
-        def __missing__(self, word):
-            place = super().__missing__(word) % PLACES
-            self[word] = value = place if place in weight else -1
-            return value
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place_of = PlaceOf()
+        places_of = WordPlaces(weight.keys())
         for batch in batches:
             totals = []
             for text in batch.column(1):
-                hits = set(map(place_of.__getitem__, set(WORDS.findall(text.as_py().lower()))))
-                totals.append(sum(weight[p] for p in hits if p >= 0))
+                words = set(WORDS.findall(text.as_py().lower()))
+                totals.append(sum(weight[p] for p in set(chain.from_iterable(map(places_of.__getitem__, words)))))
             above = sigmoid(np.array(totals, np.float64).reshape(-1, 1) - thresholds)
             ends = np.arange(0, above.size + 1, grades, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
