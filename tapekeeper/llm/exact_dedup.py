@@ -4,14 +4,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapekeeper.llm.shared import ascii_lower, plain, text_of, written
+from tapekeeper.llm.shared import ascii_lower, plain, text_of, with_groups, written
 
 # Fixed value: bits in one of Spark's bitmaps.
 BITMAP_BITS = 32768
 
-# Tasks that the rows of one group are dealt to.
-SALTS = 32
-
 
 def _positions(hash_column: Column, bits: int, probes: int) -> Column:
     """The distinct places of a hash in a filter of ``bits`` (a power of two)."""
@@ -54,18 +51,6 @@ def repeat_test(hashes: DataFrame, name: str, bits_per_row: int = 16, probes: in
     return may_repeat
 
 
-def _with_groups(rows: DataFrame) -> DataFrame:
-    """Rows (id, digest, ...) with the largest id and the size of their group.
-
-    A group's rows are dealt to salts, summed up by salt, and joined back by salt: the rows of one
-    digest spread over as many tasks, and no group is repeated for salts it doesn't have.
-    """
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-    parts = salted.groupBy("digest", "salt").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    groups = parts.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    return salted.join(parts.select("digest", "salt").join(groups, "digest"), ["digest", "salt"]).drop("salt")
-
-
 def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **filter_options) -> DataFrame:
     """(id, keep_id, group_size, kept, digest) for every row; texts are equal but for the case of A-Z.
 
@@ -82,8 +67,8 @@ def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     maybe = flagged.filter("maybe").drop("maybe")
     single = flagged.filter("not maybe").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    several = _with_groups(maybe).select(
-        "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+    several = with_groups(maybe, "digest", F.max).select(
+        "id", F.col("chosen").alias("keep_id"), "group_size", F.col("id").eqNullSafe(F.col("chosen")).alias("kept"), "digest")
     return single.unionByName(several)
 
 
@@ -99,5 +84,5 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     flagged = rows.withColumn("maybe", may_repeat("h"))
     single = flagged.filter("not maybe").select("row.*")
     maybe = flagged.filter("maybe").select("row", "id", F.sha2("low", 256).alias("digest"))
-    survivors = _with_groups(maybe).filter(F.col("id").eqNullSafe(F.col("keep_id")))
+    survivors = with_groups(maybe, "digest", F.max).filter(F.col("id").eqNullSafe(F.col("chosen")))
     return single.unionByName(survivors.dropDuplicates(["digest"]).select("row.*"))

@@ -1,5 +1,9 @@
 """SQL that DuckDB runs on the same tables, for the queries it can express."""
 
+from tapekeeper.llm.licenses import TEMPLATES, TERM
+
+TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{notice}')" for k, (name, notice) in enumerate(TEMPLATES))
+
 ORACLES = {
     "op5_exact_dedup": """
 WITH low AS (
@@ -8,5 +12,73 @@ WITH low AS (
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM low WINDOW same AS (PARTITION BY text_sha256)
+""",
+    "op3_preferences": """
+WITH t AS (
+  SELECT conv_id, turn, replace(coalesce(role, ''), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations),
+cuts AS (SELECT conv_id AS pair_id, count(*) // 2 AS cut FROM t GROUP BY 1),
+sides AS (
+  SELECT 'c' AS side, conv_id AS pair_id, turn, role, text FROM t
+  UNION ALL SELECT 'r', pair_id, turn, role, text FROM t JOIN cuts ON conv_id = pair_id WHERE turn < cut
+  UNION ALL SELECT 'r', pair_id, turn, role, text FROM t JOIN cuts ON xor(conv_id, 1) = pair_id WHERE turn >= cut),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY side, pair_id ORDER BY turn, role, text) AS nth,
+         '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body FROM sides),
+unequal AS (
+  SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, min(coalesce(c.nth, r.nth)) AS nth
+  FROM (SELECT * FROM placed WHERE side = 'c') c FULL JOIN (SELECT * FROM placed WHERE side = 'r') r
+    ON c.pair_id = r.pair_id AND c.nth = r.nth
+  WHERE c.nth IS NULL OR r.nth IS NULL OR c.role <> r.role OR c.text <> r.text GROUP BY 1),
+marked AS (
+  SELECT placed.*, coalesce(unequal.nth, 1e18) AS fork,
+         length(head) || '- ' || length(body) || CASE WHEN role = 'assistant' THEN '+' ELSE '-' END AS mask
+  FROM placed LEFT JOIN unequal USING (pair_id))
+SELECT pair_id, CAST(count(*) FILTER (side = 'c' AND nth < fork) AS INTEGER) AS prefix_turns,
+       coalesce(string_agg(head || body, '' ORDER BY nth) FILTER (side = 'c' AND nth < fork), '') AS prompt,
+       coalesce(string_agg(head || body, '' ORDER BY nth) FILTER (side = 'c' AND nth >= fork), '') AS chosen,
+       coalesce(string_agg(mask, ' ' ORDER BY nth) FILTER (side = 'c' AND nth >= fork), '') AS chosen_mask,
+       coalesce(string_agg(head || body, '' ORDER BY nth) FILTER (side = 'r' AND nth >= fork), '') AS rejected,
+       coalesce(string_agg(mask, ' ' ORDER BY nth) FILTER (side = 'r' AND nth >= fork), '') AS rejected_mask,
+       count(*) FILTER (nth >= fork) > 0 AS differs
+FROM marked GROUP BY pair_id
+""",
+    "op6_licenses": f"""
+WITH t(template, license, notice) AS (VALUES {TEMPLATE_ROWS}),
+tterms AS (SELECT template, license, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM t),
+tcount AS (SELECT template, license, term, count(*) AS n FROM tterms GROUP BY ALL),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM t)) / (1.0 + count(*))) + 1 AS idf FROM tcount GROUP BY 1),
+tw AS (SELECT template, license, term, n * idf AS w FROM tcount JOIN idf USING (term)),
+tl AS (SELECT template, sqrt(sum(w * w)) AS size FROM tw GROUP BY 1),
+files AS (
+  SELECT doc_id, coalesce(text, '') AS text, source || '/p' || (doc_id // 100) AS package,
+         package || '/' || (doc_id // 10 % 10) AS folder,
+         CASE WHEN doc_id % 100 = 55 THEN package || '/COPYING' WHEN doc_id % 10 = 0 THEN folder || '/LICENSE'
+              ELSE folder || '/' || doc_id || '.txt' END AS path,
+         CASE WHEN doc_id % 100 = 55 THEN package ELSE folder END AS dir,
+         doc_id % 100 = 55 OR doc_id % 10 = 0 AS whole
+  FROM documents),
+pieces AS (
+  SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS unit FROM files
+  UNION ALL SELECT doc_id, lower(text) FROM files WHERE whole),
+units AS (SELECT doc_id, row_number() OVER () AS u, unit FROM pieces WHERE regexp_matches(unit, 'licen|permi|software|redistr|apache|mit|gnu|bsd')),
+uterms AS (SELECT doc_id, u, unnest(regexp_extract_all(unit, '{TERM}')) AS term FROM units),
+ucount AS (SELECT doc_id, u, term, count(*) AS n FROM uterms GROUP BY ALL),
+uw AS (SELECT doc_id, u, term, n * coalesce(idf, ln(1 + (SELECT count(*) FROM t)) + 1) AS w FROM ucount LEFT JOIN idf USING (term)),
+ul AS (SELECT u, sqrt(sum(w * w)) AS size FROM uw GROUP BY 1),
+hits AS (
+  SELECT uw.doc_id, uw.u, tw.template, tw.license, sum(uw.w * tw.w) AS dot FROM uw JOIN tw USING (term) GROUP BY ALL),
+scores AS (
+  SELECT doc_id, license, dot / ul.size / tl.size AS score FROM hits JOIN ul USING (u) JOIN tl USING (template)),
+own AS (
+  SELECT doc_id, license AS own_license, round(score, 6) AS own_score FROM scores WHERE score >= 0.7
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, license) = 1),
+listed AS (SELECT * FROM files LEFT JOIN own USING (doc_id)),
+granted AS (
+  SELECT dir, own_license FROM listed WHERE whole AND own_license IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path, doc_id) = 1)
+SELECT l.doc_id, l.path, l.own_license, l.own_score, coalesce(f.own_license, p.own_license) AS inherited_license,
+       coalesce(f.dir, p.dir) AS inherited_from, coalesce(l.own_license, f.own_license, p.own_license) AS license
+FROM listed l LEFT JOIN granted f ON f.dir = l.dir LEFT JOIN granted p ON p.dir = l.package AND p.dir <> l.dir
 """,
 }

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tapekeeper.llm import exact_dedup, langid, packing, piece_tokens, quality, simhash, toxicity
+from tapekeeper.llm import chat, exact_dedup, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
 from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
 from tapekeeper.llm.training import examples
 
@@ -85,6 +85,24 @@ def op2_packing(spark, sf):
     return packed(table(spark, sf, "documents"))
 
 
+def _mask_text(mask: str):
+    """A mask as text: the characters of each run, with + if trained and - if not."""
+    return F.array_join(F.transform(mask, lambda m: F.concat(
+        m["chars"].cast("string"), F.when(m["trained"], F.lit("+")).otherwise(F.lit("-")))), " ")
+
+
+@query
+def op3_preferences(spark, sf):
+    """Every conversation as chosen; rejected is its first half, then the rest of its neighbour (2k with 2k + 1)."""
+    turns = table(spark, sf, "conversations")
+    cuts = turns.groupBy("conv_id").agg(F.expr("count(*) div 2").alias("cut")).select(F.col("conv_id").alias("pair_id"), "cut")
+    opening = turns.join(cuts, turns["conv_id"] == cuts["pair_id"]).filter("turn < cut")
+    neighbour = turns.join(cuts, F.col("conv_id").bitwiseXOR(F.lit(1)) == cuts["pair_id"]).filter("turn >= cut")
+    rejected = opening.unionByName(neighbour).select("pair_id", "turn", "role", "text")
+    pairs = chat.format_preferences(turns.withColumnRenamed("conv_id", "pair_id"), rejected)
+    return pairs.withColumns({"chosen_mask": _mask_text("chosen_mask"), "rejected_mask": _mask_text("rejected_mask")})
+
+
 # Of four parts of the documents, the one that is never learned from; and of three, for quality.
 LANGUAGE_PARTS, LANGUAGE_HELD, QUALITY_PARTS, QUALITY_HELD = 4, 2, 3, 1
 
@@ -112,6 +130,25 @@ def op5_exact_dedup(spark, sf):
     return marked.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query
+def op6_licenses(spark, sf):
+    """Documents as files: every hundred of a source a package of ten folders, each tenth document a folder's LICENSE, and
+    one of a hundred the package's COPYING."""
+    docs = table(spark, sf, "documents")
+    package = F.concat("source", F.lit("/p"), F.expr("doc_id div 100"))
+    folder = F.concat(package, F.lit("/"), F.expr("doc_id div 10 % 10"))
+    path = (F.when(F.expr("doc_id % 100 = 55"), F.concat(package, F.lit("/COPYING")))
+            .when(F.expr("doc_id % 10 = 0"), F.concat(folder, F.lit("/LICENSE")))
+            .otherwise(F.concat(folder, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))))
+    found = licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"), "doc_id")
+    return found.withColumn("own_score", F.round("own_score", 6)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_vector_links(spark, sf):
+    return vector_links.link_vectors(table(spark, sf, "embeddings"), 0.95).withColumnRenamed("id", "vec_id")
+
+
 @query
 def op8_simhash(spark, sf):
     groups = simhash.group_near_copies(table(spark, sf, "documents"), SHINGLE, RADIUS)

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Tasks that the rows of one group are dealt to.
+SALTS = 32
+
 # Words a task remembers the hash of; beyond this many it starts anew, which changes no result.
 REMEMBERED = 500_000
 
@@ -64,6 +67,18 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def with_groups(rows: DataFrame, key: str, pick) -> DataFrame:
+    """Rows (id, key, ...) with ``chosen``, the ``pick`` (F.min or F.max) of their group's ids, and ``group_size``.
+
+    A group's rows are dealt to salts, summed up by salt, and joined back by salt: the rows of one
+    key spread over as many tasks, and no group is repeated for salts it doesn't have.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    parts = salted.groupBy(key, "salt").agg(pick("id").alias("chosen"), F.count(F.lit(1)).alias("group_size"))
+    groups = parts.groupBy(key).agg(pick("chosen").alias("chosen"), F.sum("group_size").alias("group_size"))
+    return salted.join(parts.select(key, "salt").join(groups, key), [key, "salt"]).drop("salt")
+
+
 def split_of(id_column: Column, parts: int) -> Column:
     """The part of a document: crc32 of its id as text, modulo ``parts``."""
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(parts))
