@@ -45,7 +45,7 @@ def _places(run: np.ndarray, first: int, last: int):
     part = run[first:last + max(ORDERS)].astype(np.uint32)
     space = part == 32
     for n in ORDERS:
-        size = min(last - first, len(part) - n + 1)
+        size = max(0, min(last - first, len(part) - n + 1))
         code, valid = np.full(size, n * 0x3D4D51CB & 0xFFFFFFFF, np.uint32), np.ones(size, bool)
         for k in range(n):
             code = (code ^ part[k:k + size]) * np.uint32(0x01000193)
