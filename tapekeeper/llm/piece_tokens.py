@@ -3,7 +3,7 @@
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,9 @@ SPACE, UNKNOWN, BREAK = "▁", " ⁇ ", "\n"
 # Longest chunk whose agenda is kept as a row of a matrix; longer ones use a heap.
 ROW = 48
 
-# Chunks a task remembers the ids of, and characters it works on at a time.
-REMEMBERED, SLICE = 500_000, 1 << 21
+# Chunks that a task remembers the ids of at most, chunks kept when there are more and after the task, and
+# characters it works on at a time. Chunks met first are kept: they tend to be the frequent ones.
+REMEMBERED, KEPT, SLICE = 400_000, 80_000, 1 << 20
 
 NONE = np.int32(2**31 - 1)
 
@@ -184,13 +185,17 @@ class Pieces:
             bad = next(c for c, ids in zip(chunks, found) if np.array(ids[skip:], "<i4").tobytes() != self.known[c])
             raise ValueError(f"the library encodes {bad!r} otherwise")
 
+    def forget(self) -> None:
+        """Keeps the ids of the chunks met first only; the others are merged again when met again."""
+        self.known = dict(islice(self.known.items(), KEPT))
+
     # --- whole texts ----------------------------------------------------------------------------
 
     def encode(self, texts: list[str], check: bool = True) -> list[bytes]:
         """Ids of whole texts, each as little-endian 32-bit numbers."""
         split = [self.chunks.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {chunk: ids for chunks in split for chunk in chunks if (ids := self.known.get(chunk)) is not None}
+            self.forget()
         found = [list(map(self.known.get, chunks)) for chunks in split]
         gaps = [[i for i, ids in enumerate(of) if ids is None] if None in of else () for of in found]
         new = {chunks[i] for chunks, empty in zip(split, gaps) for i in empty}
@@ -258,6 +263,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_column: str = "doc_id", t
                     [batch.column(0).slice(first, last - first),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
                      pa.array(decoded, pa.string())], names=["id", "ids", "decoded"])
+        pieces.forget()  # an idle worker holds little
 
     rows = docs.select(plain(id_column).alias("id"), text_of(text_column).alias("text"))
     return rows.mapInArrow(work, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, decoded string")

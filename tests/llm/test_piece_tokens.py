@@ -46,6 +46,7 @@ def test_check_finds_a_difference():
 
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(piece_tokens, "REMEMBERED", 3)
+    monkeypatch.setattr(piece_tokens, "KEPT", 1)
     pieces = piece_tokens.Pieces(MODEL)
     for text in ["one two three four", "two five six", "one seven two", "one two"] * 2:
         assert list(memoryview(pieces.encode([text])[0]).cast("i")) == library.encode(text)
