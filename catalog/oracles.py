@@ -1,8 +1,10 @@
 """SQL that DuckDB runs on the same tables, one string per query it can express."""
 
+from catalog import tape
+
 TAPE = """
 ev AS (
-  SELECT event_id, event_type AS symbol, CAST(value AS DECIMAL(18,8)) AS price,
+  SELECT event_id, upper(event_type) AS symbol, CAST(value AS DECIMAL(18,8)) AS price,
          CAST(json_extract_string(props, '$.k') AS DECIMAL(18,8)) AS quantity,
          date_trunc('millisecond', ts) AS trade_time,
          date_trunc('millisecond', ts) + to_milliseconds(20 + (event_id * 37) % 500) AS ingested_at
@@ -16,13 +18,12 @@ dense AS (
   SELECT symbol, trade_id, price, quantity, trade_time, ingested_at + INTERVAL 5 SECOND
   FROM live WHERE quantity >= 90),
 numbered AS (
-  SELECT symbol, event_id AS trade_id, price, quantity, trade_time, ingested_at FROM ev
-  WHERE quantity >= 3 AND extract(hour FROM trade_time) <> 3),
+  SELECT symbol, event_id AS trade_id, price, quantity, trade_time, ingested_at FROM ev),
 trades AS (
   SELECT * FROM numbered UNION ALL
   SELECT symbol, trade_id, price, quantity, trade_time, ingested_at + INTERVAL 5 SECOND
   FROM numbered WHERE quantity >= 90),
-configured(symbol) AS (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('ghost'))
+configured(symbol) AS (VALUES ('CLICK'), ('ERROR'), ('PURCHASE'), ('SIGNUP'), ('VIEW'), ('GHOST'))
 """
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -47,16 +48,26 @@ buckets AS (
 
 def rolling(n):
     frame = f"OVER (PARTITION BY symbol ORDER BY time ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
-    return f"CAST(sum(CAST(price AS DECIMAL(18,8))) {frame} AS DOUBLE) / count(*) {frame}"
+    return f"round(avg(price) {frame}, 8)"
 
 
-def gaps_of(table, where="TRUE", name="gaps"):
+def lost_of(table, where="TRUE"):
+    """Every id between a symbol's first and last that the table lacks."""
     return f"""
-{name} AS (
-  SELECT symbol, prev + 1 AS gap_start, trade_id - 1 AS gap_end, trade_id - prev - 1 AS missing
-  FROM (SELECT symbol, trade_id, lag(trade_id) OVER (PARTITION BY symbol ORDER BY trade_id) AS prev
-        FROM (SELECT DISTINCT symbol, trade_id FROM {table} WHERE {where}))
-  WHERE trade_id - prev > 1)
+lost AS (
+  SELECT symbol, unnest(generate_series(low, high)) AS trade_id
+  FROM (SELECT symbol, min(trade_id) AS low, max(trade_id) AS high FROM {table} WHERE {where} GROUP BY symbol)
+  EXCEPT SELECT symbol, trade_id FROM {table} WHERE {where})
+"""
+
+
+def gaps_of(table, where="TRUE"):
+    """Lost ids next to each other make one gap: id minus its rank is the same for all of them."""
+    return lost_of(table, where) + """,
+gaps AS (
+  SELECT symbol, min(trade_id) AS gap_start, max(trade_id) AS gap_end, count(*) AS missing
+  FROM (SELECT *, trade_id - rank() OVER (PARTITION BY symbol ORDER BY trade_id) AS run FROM lost)
+  GROUP BY symbol, run)
 """
 
 
@@ -104,54 +115,61 @@ FROM {table}
 def gap_check(where):
     return f"""
 SELECT 'trade_gap' AS check_name, c.symbol,
-       CASE WHEN coalesce(missing, 0) > 0 THEN 'GAP_DETECTED' ELSE 'OK' END AS status,
-       CAST(coalesce(missing, 0) AS DOUBLE) AS value
-FROM configured c LEFT JOIN (
-  SELECT symbol, sum(missing) AS missing FROM (
-    SELECT symbol, trade_id - lag(trade_id) OVER (PARTITION BY symbol ORDER BY trade_id) - 1 AS missing
-    FROM (SELECT DISTINCT symbol, trade_id FROM dense WHERE {where}))
-  WHERE missing > 0 GROUP BY symbol) USING (symbol)
+       CASE WHEN count(l.trade_id) > 0 THEN 'GAP_DETECTED' ELSE 'OK' END AS status,
+       CAST(count(l.trade_id) AS DOUBLE) AS value
+FROM configured c LEFT JOIN ({select_lost(where)}) l USING (symbol) GROUP BY c.symbol
 """
 
 
+def select_lost(where):
+    return f"WITH {lost_of('dense', where)} SELECT * FROM lost"
+
+
 HEALTH = f"{freshness('dense')} UNION ALL {stalls('dense', 3600)} UNION ALL {gap_check(WHOLE)}"
 
-CHECKS = """
-hours AS (
-  SELECT date_trunc('hour', trade_time) + INTERVAL 1 HOUR AS checked_at, symbol, max(trade_time) AS newest,
-         max(trade_id) - min(trade_id) + 1 - count(DISTINCT trade_id) AS missing
-  FROM dense GROUP BY 1, 2),
-aged AS (SELECT *, date_diff('second', newest, checked_at) AS age FROM hours),
-overall AS (
-  SELECT checked_at, date_diff('second', max(newest), checked_at) AS age FROM hours GROUP BY checked_at),
+# Each cycle sees the tape up to its time: its checks, then what healing brought back.
+CYCLES = ", ".join(f"(TIMESTAMP '{time}')" for time in tape.CYCLES)
+CHECKS = f"""
+cycles(cyc) AS (VALUES {CYCLES}),
+known AS (SELECT cyc, dense.* FROM cycles, dense WHERE trade_time <= cyc),
+newest AS (SELECT cyc, symbol, max(trade_time) AS t FROM known GROUP BY 1, 2),
+looked AS (SELECT * FROM known WHERE trade_time > cyc - INTERVAL 5 DAY),
+absent AS (
+  SELECT cyc, symbol, unnest(generate_series(low, high)) AS trade_id
+  FROM (SELECT cyc, symbol, min(trade_id) AS low, max(trade_id) AS high FROM looked GROUP BY 1, 2)
+  EXCEPT SELECT cyc, symbol, trade_id FROM looked),
+counts AS (
+  SELECT cyc, c.symbol, count(trade_id) AS missing, count(h) AS back
+  FROM cycles CROSS JOIN configured c LEFT JOIN (
+    SELECT absent.*, h.symbol AS h FROM absent LEFT JOIN history h USING (symbol, trade_id)) USING (cyc, symbol)
+  GROUP BY 1, 2),
+aged AS (
+  SELECT cyc, c.symbol, coalesce(date_diff('second', t, cyc), 999999) AS age
+  FROM cycles CROSS JOIN configured c LEFT JOIN newest USING (cyc, symbol)),
 checks AS (
-  SELECT 'freshness' AS check_name, 'ALL' AS symbol, CASE WHEN age > 600 THEN 'STALE' ELSE 'OK' END AS status,
-         CAST(age AS DOUBLE) AS value, checked_at FROM overall
-  UNION ALL SELECT 'symbol_stall', symbol, CASE WHEN age > 1800 THEN 'STALLED' ELSE 'OK' END,
-         CAST(age AS DOUBLE), checked_at FROM aged
-  UNION ALL SELECT 'trade_gap', symbol, CASE WHEN missing > 0 THEN 'GAP_DETECTED' ELSE 'OK' END,
-         CAST(missing AS DOUBLE), checked_at FROM hours
-  UNION ALL SELECT 'backfill', symbol, 'BACKFILLED', CAST(count(*) AS DOUBLE),
-         date_trunc('hour', trade_time) + INTERVAL 1 HOUR
-  FROM history WHERE quantity < 3 OR extract(hour FROM trade_time) = 3 GROUP BY 2, 5)
+  SELECT 'freshness' AS check_name, 'ALL' AS symbol, CASE WHEN min(age) > 600 THEN 'STALE' ELSE 'OK' END AS status,
+         CAST(min(age) AS DOUBLE) AS value, cyc AS checked_at FROM aged GROUP BY cyc
+  UNION ALL SELECT 'symbol_stall', symbol, CASE WHEN age > 1800 THEN 'STALLED' ELSE 'OK' END, CAST(age AS DOUBLE), cyc FROM aged
+  UNION ALL SELECT 'trade_gap', symbol, CASE WHEN missing > 0 THEN 'GAP_DETECTED' ELSE 'OK' END, CAST(missing AS DOUBLE), cyc FROM counts
+  UNION ALL SELECT 'backfill', symbol, 'BACKFILLED', CAST(back AS DOUBLE), cyc FROM counts WHERE missing > 0
+  UNION ALL SELECT 'backfill', 'ALL', CASE WHEN sum(back) > 0 THEN 'BACKFILLED' ELSE 'OK' END, CAST(sum(back) AS DOUBLE), cyc
+  FROM counts GROUP BY cyc)
 """
 
+# The last row of each check and symbol, as of the alert's half day and as of ever.
 ALERTS = f"""
+placed AS (
+  SELECT *, checked_at > {NOW} - INTERVAL 12 HOUR AS is_now,
+         row_number() OVER (PARTITION BY check_name, symbol ORDER BY checked_at DESC) AS nth FROM checks),
 vals AS (
-  SELECT 'health-freshness-stale' AS uid,
-         coalesce(CAST(arg_max(status, checked_at) = 'STALE' AS DOUBLE), 0) AS value
-  FROM checks WHERE check_name = 'freshness' AND checked_at > {NOW} - INTERVAL 12 HOUR
-  UNION ALL
-  SELECT 'health-monitor-heartbeat', CAST(date_diff('second', max(checked_at), {NOW}) AS DOUBLE)
-  FROM checks WHERE check_name = 'freshness' HAVING max(checked_at) IS NOT NULL
-  UNION ALL
-  SELECT 'health-symbol-stalled', CAST(count(*) FILTER (s = 'STALLED') AS DOUBLE) FROM (
-    SELECT symbol, arg_max(status, checked_at) AS s FROM checks
-    WHERE check_name = 'symbol_stall' AND checked_at > {NOW} - INTERVAL 12 HOUR GROUP BY symbol)
+  SELECT rule AS uid, CAST(count(p.symbol) AS DOUBLE) AS value
+  FROM (VALUES ('health-freshness-stale', 'freshness', 'STALE'), ('health-symbol-stalled', 'symbol_stall', 'STALLED'),
+               ('health-trade-gap', 'trade_gap', 'GAP_DETECTED')) AS r(rule, name, bad)
+  LEFT JOIN placed p ON p.check_name = r.name AND p.status = r.bad AND p.nth = 1 AND p.is_now
+  GROUP BY rule
   UNION ALL
-  SELECT 'health-trade-gap', CAST(count(*) FILTER (s = 'GAP_DETECTED') AS DOUBLE) FROM (
-    SELECT symbol, arg_max(status, checked_at) AS s FROM checks
-    WHERE check_name = 'trade_gap' AND checked_at > {NOW} - INTERVAL 12 HOUR GROUP BY symbol))
+  SELECT 'health-monitor-heartbeat', CAST(date_diff('second', checked_at, {NOW}) AS DOUBLE)
+  FROM placed WHERE check_name = 'freshness' AND nth = 1)
 """
 
 DAILY = """
@@ -179,7 +197,7 @@ MESSAGES = """
 msgs AS (
   SELECT symbol, trade_id, price, quantity, trade_time,
          CASE WHEN quantity = 0 THEN '01' ELSE '00' END AS magic,
-         CASE WHEN symbol = 'error' THEN 9 ELSE 7 END AS schema_id,
+         CASE WHEN symbol = 'ERROR' THEN 9 ELSE 7 END AS schema_id,
          '{"symbol":"' || symbol || '","trade_id":' || event_id || ',"price":"' || price || '","quantity":"'
            || quantity || '","trade_time":' || epoch_ms(trade_time) || '}' AS payload
   FROM (SELECT *, event_id AS trade_id FROM ev))
@@ -188,9 +206,9 @@ msgs AS (
 # What becomes of each frame: NULL kind for one that is parsed.
 FRAMES = """
 framed AS (
-  SELECT *, CASE WHEN quantity >= 5 THEN 'good' WHEN symbol = 'view' THEN 'ignored'
-                 WHEN symbol = 'error' THEN 'not a JSON object' WHEN symbol = 'purchase' THEN 'missing price'
-                 WHEN symbol = 'click' THEN 'bad price' ELSE 'good' END AS kind
+  SELECT *, CASE WHEN quantity >= 5 THEN 'good' WHEN symbol = 'VIEW' THEN 'ignored'
+                 WHEN symbol = 'ERROR' THEN 'not a JSON object' WHEN symbol = 'PURCHASE' THEN 'missing price'
+                 WHEN symbol = 'CLICK' THEN 'bad price' ELSE 'good' END AS kind
   FROM ev)
 """
 
@@ -217,8 +235,13 @@ ORACLES = {
         "SELECT time, symbol, price, " + ", ".join(f"{rolling(n)} AS ma_{n}" for n in (15, 60, 240, 720, 1440))
         + " FROM buckets", minutes("minute")),
     "latency_stats": sql("""
-        SELECT count(*) AS events, quantile_cont(lat, 0.5) AS p50_ms, quantile_cont(lat, 0.95) AS p95_ms,
-               quantile_cont(lat, 0.99) AS p99_ms, max(lat) AS max_ms
+        SELECT count(*) AS events, round(quantile_cont(lat, 0.5), 8) AS p50_ms, round(quantile_cont(lat, 0.95), 8) AS p95_ms,
+               round(quantile_cont(lat, 0.99), 8) AS p99_ms, max(lat) AS max_ms
+        FROM (SELECT epoch_ms(ingested_at) - epoch_ms(trade_time) AS lat FROM trades
+              WHERE ingested_at > TIMESTAMP '2023-12-31 00:00:00')"""),
+    "latency_display": sql("""
+        SELECT count(*) AS events, round_even(quantile_cont(lat, 0.5), 1) AS p50_ms, round_even(quantile_cont(lat, 0.95), 1) AS p95_ms,
+               round_even(quantile_cont(lat, 0.99), 1) AS p99_ms, max(lat) AS max_ms
         FROM (SELECT epoch_ms(ingested_at) - epoch_ms(trade_time) AS lat FROM trades
               WHERE ingested_at > TIMESTAMP '2023-12-31 00:00:00')"""),
     "throughput": sql("""
@@ -258,13 +281,16 @@ ORACLES = {
         gaps_of("dense")),
     "heal": sql("SELECT * FROM healed", gaps_of("dense"), healed_of("history")),
     "order_heal": sql("SELECT * FROM healed", ORDERS, gaps_of("lines"), healed_of("fetched")),
-    "heal_audit": sql("SELECT * FROM audit", gaps_of("dense"), audit_of("missing <= 5")),
+    "heal_audit": sql("SELECT * FROM audit", gaps_of("dense"), audit_of("TRUE")),
     "heal_cycle": sql("SELECT * FROM audit", gaps_of("dense", WHOLE), audit_of("TRUE")),
     "healed_tape": sql("""
         SELECT symbol, max(trade_id) - min(trade_id) + 1 - count(DISTINCT trade_id) AS missing
         FROM (SELECT symbol, trade_id FROM dense UNION ALL SELECT symbol, trade_id FROM healed) GROUP BY symbol""",
         gaps_of("dense", WHOLE), healed_of("history")),
 
+    "configured_symbols": sql("""
+        SELECT symbol, count(*) AS rows, max(price) AS max_price FROM trades
+        WHERE symbol IN ('CLICK', 'VIEW', 'GHOST') GROUP BY 1"""),
     "freshness": sql(freshness("trades")),
     "symbol_stalls": sql(stalls("trades", 3600)),
     "trade_gaps": sql(gap_check(RECENT)),
@@ -286,10 +312,15 @@ ORACLES = {
         SELECT symbol, current_price, peak AS peak_price, CAST(current_price AS DOUBLE) / peak * 100 AS pct_of_peak
         FROM (SELECT symbol, arg_max(price, trade_time) AS current_price FROM trades WHERE {RECENT} GROUP BY symbol)
         JOIN seed USING (symbol)""", DAILY),
+    "pct_display": sql(f"""
+        SELECT symbol, CAST(round_even(current_price, 2) AS DECIMAL(13,2)) AS current_price, round_even(peak, 2) AS peak_price,
+               round_even(CAST(current_price AS DOUBLE) / peak * 100, 2) AS pct_of_peak
+        FROM (SELECT symbol, arg_max(price, trade_time) AS current_price FROM trades WHERE {RECENT} GROUP BY symbol)
+        JOIN seed USING (symbol)""", DAILY),
     "pct_of_peak_one": sql(f"""
         SELECT CAST(arg_max(price, trade_time) AS DOUBLE)
-               / (SELECT CAST(max(price) AS DOUBLE) FROM trades WHERE symbol = 'click') * 100 AS pct_of_peak
-        FROM trades WHERE symbol = 'click' AND {RECENT}"""),
+               / (SELECT CAST(max(price) AS DOUBLE) FROM trades WHERE symbol = 'CLICK') * 100 AS pct_of_peak
+        FROM trades WHERE symbol = 'CLICK' AND {RECENT}"""),
     "peak_bands": sql("""
         SELECT time, symbol, price / peak * 100 AS pct,
                CASE WHEN price / peak * 100 >= 100 THEN 'red' WHEN price / peak * 100 >= 95 THEN 'orange'
@@ -321,7 +352,7 @@ ORACLES = {
         SELECT checked_at AS time, symbol, value FROM checks WHERE check_name = 'trade_gap'
         AND checked_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 12:00:00'""", CHECKS),
     "retained_checks": sql("""
-        SELECT * FROM checks WHERE checked_at > TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY""", CHECKS),
+        SELECT * FROM checks WHERE checked_at > TIMESTAMP '2024-02-12 00:00:00' - INTERVAL 30 DAY""", CHECKS),
     "check_bands": sql("""
         SELECT check_name, symbol, checked_at, value, CASE
           WHEN check_name = 'freshness' THEN CASE WHEN value >= 120 THEN 'red' ELSE 'green' END
@@ -362,6 +393,24 @@ ORACLES = {
         SELECT symbol, max(peak) AS peak FROM (
           SELECT * FROM seed UNION ALL SELECT symbol, CAST(max(price) AS DOUBLE) FROM trades GROUP BY symbol)
         GROUP BY symbol""", DAILY),
+    "stream_batches": sql(
+        "SELECT CAST(1 AS BIGINT) AS writers, TRUE AS several_batches, count(*) AS rows FROM trades"),
+    "two_streams": sql("SELECT * FROM kept", WINNERS),
+    "compacted_then_streamed": sql("SELECT * FROM kept", WINNERS),
+    "stored_heals": sql("""
+        SELECT symbol, max(trade_id) - min(trade_id) + 1 - count(DISTINCT trade_id) AS missing
+        FROM (SELECT symbol, trade_id FROM dense UNION ALL SELECT symbol, trade_id FROM healed) GROUP BY symbol""",
+        gaps_of("dense", WHOLE), healed_of("history")),
+    "healed_peaks": sql("""
+        SELECT symbol, CAST(max(price) AS DOUBLE) AS peak FROM healed GROUP BY symbol""",
+        gaps_of("dense", WHOLE), healed_of("history")),
+    "reseeded_peaks": sql("SELECT symbol, peak FROM seed", DAILY),
+    "stored_range": sql("""
+        SELECT * FROM kept
+        WHERE trade_time BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00'""", WINNERS),
+    "stored_default_times": sql("""
+        SELECT TRUE AS recent, (SELECT count(*) FROM trades) + 1 + 2 * (SELECT count(*) FROM configured) AS rows"""),
+    "stored_health": sql(f"{freshness('dense')} UNION ALL {stalls('dense', 3600)} UNION ALL {gap_check(RECENT)}"),
     "stream_dedup": sql("SELECT symbol, count(*) AS rows FROM kept GROUP BY symbol", WINNERS),
     "stored_scan": sql(f"SELECT * FROM trades WHERE {RECENT}"),
     "stored_checks": sql(f"SELECT *, {NOW} AS checked_at FROM ({HEALTH})"),

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalog import tape
 from catalog.tape import AS_OF, SYMBOLS
-from tapekeeper.functions.values import BANDS, band
+from tapekeeper.functions.values import BANDS, band, percent_of
 from tapekeeper.operators import alerts, dedup, gaps, heal as healing, health, latest, peaks, stats, trend
-from tapekeeper.plans.cycles import healed_view, run_heal, run_health
+from tapekeeper.functions.time import to_utc_clock
+from tapekeeper.plans.cycles import healed_view, run_heal, run_health, run_stored_health, store_heal
 from tapekeeper.schema import MONEY, TRADE_MESSAGE
 from tapekeeper.sinks import tables, topic
 from tapekeeper.sources import frames, intake, records
@@ -32,7 +33,7 @@ def query(fn):
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fn(spark, sf_dir)
-        plain = {f.name: F.col(f.name).cast("timestamp_ntz")
+        plain = {f.name: to_utc_clock(F.col(f.name))
                  for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
         return df.withColumns(plain) if plain else df
 
@@ -75,19 +76,30 @@ def series_stats(spark, sf):
     return trend.series_stats(trend.price_by_interval(tape.trades(spark, sf), "30 minutes"))
 
 
+def rounded(df, *names):
+    """Averages to eight decimals, which is as far as any two engines agree on sums of doubles."""
+    return df.withColumns({c: F.round(c, 8) for c in names})
+
+
 @query
 def moving_average(spark, sf):
-    return trend.moving_average(tape.trades(spark, sf), 60, "hour", scale=8)
+    return rounded(trend.moving_average(tape.trades(spark, sf), 60, "hour"), "moving_avg")
 
 
 @query
 def moving_averages(spark, sf):
-    return trend.moving_averages(tape.trades(spark, sf), scale=8)
+    rows = trend.moving_averages(tape.trades(spark, sf))
+    return rounded(rows, *[c for c in rows.columns if c.startswith("ma_")])
 
 
 @query
 def latency_stats(spark, sf):
-    return stats.latency_stats(tape.trades(spark, sf), AS_OF, WHOLE)
+    return rounded(stats.latency_stats(tape.trades(spark, sf), AS_OF, WHOLE), "p50_ms", "p95_ms", "p99_ms")
+
+
+@query
+def latency_display(spark, sf):
+    return stats.latency_display(stats.latency_stats(tape.trades(spark, sf), AS_OF, WHOLE))
 
 
 @query
@@ -158,23 +170,23 @@ def order_gap_ranges(spark, sf):
     return gaps.gap_ranges(tape.order_tape(spark, sf), window=None)
 
 
-def _plan(spark, sf, max_gap=5):
+def _plan(spark, sf, max_gap=None):
     return gaps.plan_heal(gaps.gap_ranges(tape.dense_trades(spark, sf), window=None), max_gap)
 
 
 @query
 def plan_heal(spark, sf):
-    return _plan(spark, sf)
+    return _plan(spark, sf, 5)
 
 
 @query
 def page_plan(spark, sf):
-    return gaps.page_plan(_plan(spark, sf, 500_000), 2)
+    return gaps.page_plan(_plan(spark, sf), 2)
 
 
 @query
 def heal(spark, sf):
-    return healing.heal(_plan(spark, sf, 500_000), tape.history(spark, sf))
+    return healing.heal(_plan(spark, sf), tape.history(spark, sf))
 
 
 @query
@@ -203,6 +215,13 @@ def healed_tape(spark, sf):
 
 # --- health checks ------------------------------------------------------------------------------
 
+@query
+def configured_symbols(spark, sf):
+    """Rows per symbol of an operator-written list, cleaned of spaces, case and empties."""
+    from tapekeeper.functions.symbols import only_symbols
+    return stats.symbol_summary(only_symbols(tape.trades(spark, sf), [" click", "View ", "", "GHOST"]))
+
+
 @query
 def freshness(spark, sf):
     return health.check_freshness(tape.trades(spark, sf), AS_OF)
@@ -256,16 +275,25 @@ def latest_price(spark, sf):
     return latest.latest_by(tape.trades(spark, sf), ["symbol"], ["price", "quantity"], ["trade_time", "trade_id"])
 
 
-@query
-def pct_of_peak(spark, sf):
+def pct_of_peak_rows(spark, sf):
     seed = peaks.peak_seed(records.from_klines(tape.daily_candles(spark, sf)))
     return peaks.pct_of_peak(tape.trades(spark, sf, since=SINCE), seed, AS_OF, WINDOW)
 
 
+@query
+def pct_of_peak(spark, sf):
+    return pct_of_peak_rows(spark, sf)
+
+
+@query
+def pct_display(spark, sf):
+    return peaks.pct_display(pct_of_peak_rows(spark, sf))
+
+
 @query
 def pct_of_peak_one(spark, sf):
     partials = peaks.peak_partial(tape.trades(spark, sf))
-    return peaks.pct_of_peak_one(tape.trades(spark, sf, since=SINCE), partials, "click", AS_OF, WINDOW)
+    return peaks.pct_of_peak_one(tape.trades(spark, sf, since=SINCE), partials, "CLICK", AS_OF, WINDOW)
 
 
 @query
@@ -274,7 +302,7 @@ def peak_bands(spark, sf):
     rows = tape.trades(spark, sf)
     series = trend.price_by_interval(rows, "30 minutes")
     joined = series.join(peaks.peak_partial(rows), "symbol")
-    pct = F.col("price") / F.col("peak") * 100
+    pct = percent_of(F.col("price"), F.col("peak"))
     return joined.select("time", "symbol", pct.alias("pct"), band(pct, *BANDS["pct_of_peak"]).alias("colour"))
 
 
@@ -318,7 +346,7 @@ def check_series(spark, sf):
 
 @query
 def retained_checks(spark, sf):
-    return alerts.retain(tape.check_log(spark, sf), "2024-02-10 00:00:00", 30)
+    return alerts.retain(tape.check_log(spark, sf), "2024-02-12 00:00:00", 30)
 
 
 @query
@@ -346,17 +374,17 @@ def raw_frames(spark, sf) -> DataFrame:
     def is_small(symbol):
         return small & (F.col("symbol") == symbol)
 
-    price = F.when(is_small("click"), F.lit("n/a")).when(
-        ~F.coalesce(is_small("purchase"), F.lit(False)), F.col("price").cast("string"))
+    price = F.when(is_small("CLICK"), F.lit("n/a")).when(
+        ~F.coalesce(is_small("PURCHASE"), F.lit(False)), F.col("price").cast("string"))
     parts = {"e": F.lit('"trade"'), "s": _quoted(F.col("symbol")), "t": F.col("trade_id").cast("string"),
              "p": _quoted(price), "q": _quoted(F.col("quantity").cast("string")),
              "T": F.unix_millis("trade_time").cast("string")}
     body = F.concat(F.lit("{"), F.concat_ws(",", *[
         F.concat(F.lit(f'"{key}":'), value) for key, value in parts.items()]), F.lit("}"))
     wrapped = F.concat(F.lit('{"stream":"x","data":'), body, F.lit("}"))
-    raw = (F.when(is_small("view"), F.lit('{"result":null,"id":1}'))
-           .when(is_small("error"), F.expr("'{\"stream\":'"))
-           .when(F.col("symbol") == "signup", body).otherwise(wrapped))
+    raw = (F.when(is_small("VIEW"), F.lit('{"result":null,"id":1}'))
+           .when(is_small("ERROR"), F.expr("'{\"stream\":'"))
+           .when(F.col("symbol") == "SIGNUP", body).otherwise(wrapped))
     return ev.select(raw.alias("raw"))
 
 
@@ -402,7 +430,7 @@ def _messages(spark, sf) -> DataFrame:
     """Events as enveloped messages: schema id 7 for most, 9 for errors, a wrong first byte for quantity 0."""
     ev = topic.to_messages(tape.as_trades(tape.table(spark, sf, "events")))
     magic = F.when(F.col("quantity").cast(MONEY) == 0, F.lit("01")).otherwise(F.lit("00"))
-    schema_id = F.when(F.col("symbol") == "error", F.lit("00000009")).otherwise(F.lit("00000007"))
+    schema_id = F.when(F.col("symbol") == "ERROR", F.lit("00000009")).otherwise(F.lit("00000007"))
     payload = F.to_json(F.struct(*TRADE_MESSAGE.names))
     return ev.select(F.concat(F.unhex(F.concat(magic, schema_id)), F.encode(payload, "UTF-8")).alias("value"))
 
@@ -427,47 +455,135 @@ def topic_rows(spark, sf):
 
 # --- sinks and streaming ------------------------------------------------------------------------
 
+# Files that a source table is written out to for streaming, one a batch.
+FILES = 4
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder; a local one only on a local master."""
+    """A fresh folder in the session's checkpoint folder, which all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         import tempfile
         base = tempfile.mkdtemp(prefix="tape-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def events_stream(spark, sf) -> DataFrame:
+def trades_stream(spark, folder) -> DataFrame:
+    """A folder of events as a stream of trades, one file per micro-batch."""
     from tapekeeper.sources.tables import read_trades
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = read_trades(spark, "parquet", tape.SCHEMAS["events"], path=f"{sf}/[e]vents.parquet")  # a pattern, so one file may be the table
-    return tape.redeliver(tape.keep_live(tape.as_trades(events)))
+    events = read_trades(spark, "parquet", tape.SCHEMAS["events"], path=folder, maxFilesPerTrigger=1)
+    return tape.redeliver(tape.as_trades(events))
+
+
+def events_by_time(spark, sf, folder, where="true") -> str:
+    """The events written out as a few files, each after the one with the earlier times, as they would have come in."""
+    rows = tape.table(spark, sf, "events").filter(where).withColumn("part", F.expr(
+        f"least({FILES - 1}, datediff(ts, TIMESTAMP_NTZ '2024-01-01 00:00:00') * {FILES} div 30)"))
+    for part in range(FILES):
+        rows.filter(F.col("part") == part).drop("part").coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(folder)
+    return folder
+
+
+def drain(stream, out, marks="offsets", **more) -> None:
+    """Everything the stream has into the stored tables under ``out``."""
+    query = streaming.write_trades(stream, f"{out}/trades", f"{out}/{marks}", flush=None, **more)
+    query.awaitTermination()
 
 
 @query
 def stream_write(spark, sf):
-    """The whole tape through the streaming writer, read back with duplicates resolved."""
+    """The whole tape through the streaming writer in several batches, read back with duplicates resolved."""
     out = scratch(spark, "stream")
-    streaming.write_trades(events_stream(spark, sf), f"{out}/trades", f"{out}/offsets", flush=None).awaitTermination()
+    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), out)
+    return tables.read_stored(spark, f"{out}/trades")
+
+
+@query
+def stream_batches(spark, sf):
+    """How the streamed tape lies: writers, and whether each wrote more than one batch."""
+    out = scratch(spark, "batches")
+    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), out)
+    return scan_trades(spark, f"{out}/trades").agg(
+        F.countDistinct("writer").alias("writers"), (F.countDistinct("batch_id") > 1).alias("several_batches"),
+        F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def two_streams(spark, sf):
+    """Two streams with checkpoints of their own into one table."""
+    out = scratch(spark, "two")
+    for number, where in enumerate(("event_id % 2 = 0", "event_id % 2 = 1")):
+        drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events{number}", where)), out, f"offsets{number}")
     return tables.read_stored(spark, f"{out}/trades")
 
 
+@query
+def compacted_then_streamed(spark, sf):
+    """A compacted table that a fresh stream goes on writing to."""
+    out = scratch(spark, "compacted")
+    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/early", "event_id % 3 = 0")), f"{out}/old")
+    tables.compact(spark, f"{out}/old/trades", f"{out}/trades")
+    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/late", "event_id % 3 <> 0")), out)
+    return tables.read_stored(spark, f"{out}/trades")
+
+
+def _heal_in_two(spark, sf, out) -> None:
+    """The dense tape stored, then its gaps healed by two cycles, symbol by symbol, each stored with its peaks."""
+    tables.write_batch(tape.dense_trades(spark, sf), f"{out}/trades", tables.new_writer("load"))
+    for symbols in (SYMBOLS[:2], SYMBOLS[2:]):
+        recent = scan_trades(spark, f"{out}/trades", AS_OF, WHOLE)
+        cycle = run_heal(recent, tape.history(spark, sf), symbols, AS_OF, WHOLE)
+        store_heal(cycle, f"{out}/trades", f"{out}/peaks", f"{out}/seen")
+
+
+@query
+def stored_heals(spark, sf):
+    """Ids still missing after two stored healing cycles."""
+    out = scratch(spark, "heals")
+    _heal_in_two(spark, sf, out)
+    return gaps.missing_ids(tables.read_stored(spark, f"{out}/trades"), window=None)
+
+
+@query
+def healed_peaks(spark, sf):
+    """The peaks that stored healing cycles folded: those of the rows they brought back."""
+    out = scratch(spark, "healed-peaks")
+    _heal_in_two(spark, sf, out)
+    return tables.read_peaks(spark, f"{out}/peaks")
+
+
+def _seed(spark, sf) -> DataFrame:
+    return peaks.peak_seed(records.from_klines(tape.daily_candles(spark, sf)))
+
+
 @query
 def stream_peaks(spark, sf):
     """The peak table after seeding it and streaming the whole tape past it."""
     out = scratch(spark, "peaks")
-    tables.write_peaks(peaks.peak_seed(records.from_klines(tape.daily_candles(spark, sf))), f"{out}/peaks")
-    streaming.write_trades(events_stream(spark, sf), f"{out}/trades", f"{out}/offsets", flush=None,
-                           peaks_path=f"{out}/peaks").awaitTermination()
+    tables.seed_peaks(_seed(spark, sf), f"{out}/peaks")
+    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), out, peaks_path=f"{out}/peaks")
+    return tables.read_peaks(spark, f"{out}/peaks")
+
+
+@query
+def reseeded_peaks(spark, sf):
+    """Peaks seeded, compacted, and seeded again with less, then with one symbol only: none falls or goes."""
+    out = scratch(spark, "reseeded")
+    tables.seed_peaks(_seed(spark, sf), f"{out}/first")
+    tables.compact_peaks(spark, f"{out}/first", f"{out}/peaks")
+    tables.seed_peaks(_seed(spark, sf).withColumn("peak", F.col("peak") / 2), f"{out}/peaks")
+    tables.seed_peaks(_seed(spark, sf).filter("symbol = 'CLICK'"), f"{out}/peaks")
     return tables.read_peaks(spark, f"{out}/peaks")
 
 
 @query
 def stream_dedup(spark, sf):
-    """Rows per symbol after the bounded streaming dedup."""
+    """Rows per symbol after the bounded streaming dedup, its state evicted as the batches pass."""
     out = scratch(spark, "dedup")
-    kept = streaming.dedup_stream(events_stream(spark, sf), "40 days")
+    kept = streaming.dedup_stream(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), "1 day")
     (kept.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/offsets")
          .trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(f"{out}/rows").groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
@@ -477,8 +593,39 @@ def stream_dedup(spark, sf):
 def stored_scan(spark, sf):
     """The tape written as one batch and scanned with day pruning."""
     out = scratch(spark, "scan")
-    tables.write_batch(tape.trades(spark, sf), out, batch_id=0)
-    return scan_trades(spark, out, AS_OF, WINDOW).drop("trade_date", "batch_id")
+    tables.write_batch(tape.trades(spark, sf), out, "load")
+    return scan_trades(spark, out, AS_OF, WINDOW).drop("trade_date", "writer", "batch_id")
+
+
+@query
+def stored_range(spark, sf):
+    """A range of the stored tape with duplicates resolved; days outside are not read."""
+    out = scratch(spark, "range")
+    tables.write_batch(tape.trades(spark, sf), out, "load")
+    return tables.read_stored(spark, out, low="2024-01-10 06:00:00", high="2024-01-20 18:30:00")
+
+
+@query
+def stored_default_times(spark, sf):
+    """Trades without a write time, and a check cycle, stored with the clock's: rows by whether it lies in the last hour."""
+    out = scratch(spark, "times")
+    tables.write_batch(tape.trades(spark, sf).drop("ingested_at"), f"{out}/trades", "load")
+    tables.append_checks(run_health(tape.dense_trades(spark, sf), SYMBOLS, AS_OF, 120, 3600, WHOLE), f"{out}/checks")
+    stamps = scan_trades(spark, f"{out}/trades").select("ingested_at").unionByName(
+        tables.read_checks(spark, f"{out}/checks").select(F.col("checked_at").alias("ingested_at")))
+    recent = F.col("ingested_at").between(F.expr("now() - INTERVAL 1 HOUR"), F.expr("now() + INTERVAL 1 MINUTE"))
+    return stamps.groupBy(recent.alias("recent")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def stored_health(spark, sf):
+    """A health cycle over the stored dense tape: gaps from its recent days, newest times from the last-seen table."""
+    from tapekeeper.operators.health import seen_partial
+    out = scratch(spark, "health")
+    stored = tape.dense_trades(spark, sf)
+    tables.write_batch(stored, f"{out}/trades", "load")
+    tables.write_seen(seen_partial(stored), f"{out}/seen", "load")
+    return run_stored_health(spark, f"{out}/trades", f"{out}/seen", SYMBOLS, AS_OF, 120, 3600, WINDOW)
 
 
 @query

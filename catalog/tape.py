@@ -1,18 +1,25 @@
 """The tape the registered queries run on, derived by Spark from the ``events`` table.
 
-symbol = event_type, price = value, quantity = props.k, trade_time = ts in milliseconds, and a write
-delay that varies by row. The full tape is the *history*. The *live* tape lost trades of quantity
-below 3 and every trade of the daily hour 03, so its ids have short and long holes. *trades* is the
-live tape with each trade of quantity 90 or more delivered a second time five seconds later.
+symbol = event_type in upper case, price = value, quantity = props.k, trade_time = ts in milliseconds, and a write
+delay that varies by row. The full tape is the *history*. *trades* is the full tape with each trade
+of quantity 90 or more delivered a second time five seconds later. Only for the work on gaps,
+healing and health there is a *dense* tape with losses: trades of quantity below 3 and every trade
+of the daily hour 03 are missing, so its ids have short and long holes.
 """
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tapekeeper.functions.time import seconds_between, to_millis
+from tapekeeper.functions.time import from_utc_clock, to_millis
+from tapekeeper.operators.health import seen_partial
+from tapekeeper.plans.cycles import run_heal, run_health
 from tapekeeper.schema import MONEY, TRADES
 
 AS_OF = "2024-01-31 00:00:00"
-SYMBOLS = ["click", "error", "purchase", "signup", "view", "ghost"]
+SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "GHOST"]
+
+# When the monitor ran, and how far back it looked.
+CYCLES = ["2024-01-20 06:00:00", "2024-01-31 00:00:00"]
+CYCLE_WINDOW = "5 days"
 
 # Events per numbering bucket.
 SPAN = 1 << 16
@@ -30,7 +37,6 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,10 +46,10 @@ def as_trades(events: DataFrame) -> DataFrame:
     ``json_tuple`` yields a value, so filters on the quantity do not parse the text again.
     """
     events = events.select("event_id", "ts", "event_type", "value", F.json_tuple("props", "k").alias("k"))
-    trade_time = to_millis(F.col("ts").cast("timestamp"))
+    trade_time = to_millis(from_utc_clock(F.col("ts")))
     late = (F.lit(20) + (F.col("event_id") * 37) % 500).cast("long")
     return events.select(
-        F.col("event_type").alias("symbol"), F.col("event_id").alias("trade_id"),
+        F.upper("event_type").alias("symbol"), F.col("event_id").alias("trade_id"),
         F.col("value").cast(MONEY).alias("price"),
         F.col("k").cast(MONEY).alias("quantity"),
         trade_time.alias("trade_time"),
@@ -92,14 +98,14 @@ def dense_trades(spark, sf_dir) -> DataFrame:
 
 
 def trades(spark, sf_dir, since: str | None = None) -> DataFrame:
-    """The stored tape under event ids: the same rows, straight off the scan.
+    """The stored tape under event ids: every event, straight off the scan.
 
     ``since`` is a lower bound the scan may use; callers still apply their exact lookback.
     """
     events = table(spark, sf_dir, "events")
     if since is not None:
         events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
-    return redeliver(keep_live(as_trades(events)))
+    return redeliver(as_trades(events))
 
 
 def daily_candles(spark, sf_dir) -> DataFrame:
@@ -117,31 +123,16 @@ def daily_candles(spark, sf_dir) -> DataFrame:
 
 
 def check_log(spark, sf_dir) -> DataFrame:
-    """A check log as an hourly monitor would have written it: one cycle at the end of each traded hour."""
-    hour_end = (F.date_trunc("hour", "trade_time") + F.expr("INTERVAL 1 HOUR")).alias("checked_at")
-    age = seconds_between(F.col("newest"), F.col("checked_at"))
-
-    def entry(name, symbol, bad, label, value):
-        return F.struct(F.lit(name).alias("check_name"), symbol.alias("symbol"),
-                        F.when(bad, F.lit(label)).otherwise(F.lit("OK")).alias("status"),
-                        value.cast("double").alias("value"))
-
-    overall = trades(spark, sf_dir).groupBy(hour_end).agg(F.max("trade_time").alias("newest")).select(
-        F.inline(F.array(entry("freshness", F.lit("ALL"), age > 600, "STALE", age))), "checked_at")
-
-    hours = dense_trades(spark, sf_dir).groupBy(hour_end, "symbol").agg(
-        F.max("trade_time").alias("newest"),
-        (F.max("trade_id") - F.min("trade_id") + 1 - F.countDistinct("trade_id")).alias("missing"))
-    missing, symbol = F.col("missing"), F.col("symbol")
-    per_symbol = hours.select(F.inline(F.array(
-        entry("symbol_stall", symbol, age > 1800, "STALLED", age),
-        entry("trade_gap", symbol, missing > 0, "GAP_DETECTED", missing))), "checked_at")
-
-    lost = as_trades(table(spark, sf_dir, "events")).filter(
-        (F.col("quantity") < 3) | (F.hour("trade_time") == 3))
-    healed = lost.groupBy(hour_end, "symbol").agg(F.count(F.lit(1)).alias("n")).select(
-        F.inline(F.array(entry("backfill", symbol, F.lit(True), "BACKFILLED", F.col("n")))), "checked_at")
-    return overall.unionByName(per_symbol).unionByName(healed)
+    """The check log that a monitor of this tape left: the library's health and healing cycles at a few times."""
+    cycles = None
+    for time in CYCLES:
+        known = dense_trades(spark, sf_dir).filter(F.col("trade_time") <= F.lit(f"{time}+00:00").cast("timestamp"))
+        seen = seen_partial(known).checkpoint() if spark.sparkContext.getCheckpointDir() else seen_partial(known)
+        health = run_health(known, SYMBOLS, time, 600, 1800, CYCLE_WINDOW, seen)
+        audit = run_heal(known, history(spark, sf_dir), SYMBOLS, time, CYCLE_WINDOW).audit
+        rows = health.unionByName(audit).withColumn("checked_at", F.lit(f"{time}+00:00").cast("timestamp"))
+        cycles = rows if cycles is None else cycles.unionByName(rows)
+    return cycles
 
 
 def order_tape(spark, sf_dir) -> DataFrame:
@@ -151,8 +142,8 @@ def order_tape(spark, sf_dir) -> DataFrame:
     return lines.select(
         F.lit("ORDERS").alias("symbol"), F.col("l_orderkey").alias("trade_id"),
         F.col("l_extendedprice").cast(MONEY).alias("price"), F.col("l_quantity").cast(MONEY).alias("quantity"),
-        F.col("l_shipdate").cast("timestamp").alias("trade_time"),
-        F.col("l_shipdate").cast("timestamp").alias("ingested_at"))
+        from_utc_clock(F.col("l_shipdate")).alias("trade_time"),
+        from_utc_clock(F.col("l_shipdate")).alias("ingested_at"))
 
 
 def order_history(spark, sf_dir) -> DataFrame:
@@ -161,5 +152,5 @@ def order_history(spark, sf_dir) -> DataFrame:
     return orders.select(
         F.lit("ORDERS").alias("symbol"), F.col("o_orderkey").alias("trade_id"),
         F.col("o_totalprice").cast(MONEY).alias("price"), F.lit(1).cast(MONEY).alias("quantity"),
-        F.col("o_orderdate").cast("timestamp").alias("trade_time"),
-        F.col("o_orderdate").cast("timestamp").alias("ingested_at"))
+        from_utc_clock(F.col("o_orderdate")).alias("trade_time"),
+        from_utc_clock(F.col("o_orderdate")).alias("ingested_at"))

@@ -4,11 +4,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def parse_symbols(setting) -> list[str]:
-    """A comma-separated setting as trimmed, upper-cased symbols without quotes or empties; lists pass through."""
-    if not isinstance(setting, str):
-        return list(setting)
-    cleaned = (part.replace("'", "").strip().upper() for part in setting.split(","))
-    return [symbol for symbol in cleaned if symbol]
+    """A comma-separated setting, or a list, as trimmed, upper-cased symbols without empties, each once."""
+    parts = setting.split(",") if isinstance(setting, str) else setting
+    return list(dict.fromkeys(symbol for part in parts if (symbol := part.strip().upper())))
 
 
 def symbols_frame(spark: SparkSession, symbols) -> DataFrame:

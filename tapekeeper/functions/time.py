@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def instant(as_of=None) -> Column:
-    """A timestamp column from a Column, an ISO string, a datetime (naive means UTC) or None for now."""
+    """A timestamp column from a Column, an ISO string or datetime (without a zone: UTC), or None for now."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
+    if isinstance(as_of, str):
+        try:
+            as_of = datetime.fromisoformat(as_of)
+        except ValueError:
+            return F.lit(as_of).cast("timestamp")
     if isinstance(as_of, datetime):
         as_of = (as_of.replace(tzinfo=timezone.utc) if as_of.tzinfo is None else as_of).isoformat()
     return F.lit(as_of).cast("timestamp")
@@ -31,8 +36,19 @@ def to_millis(ts: Column) -> Column:
     return F.timestamp_millis(F.unix_millis(ts))
 
 
-def start_of_minute(ts: Column) -> Column:
-    return F.date_trunc("minute", ts)
+def utc_day(ts: Column) -> Column:
+    """The UTC date of a timestamp, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("int"))
+
+
+def from_utc_clock(wall: Column) -> Column:
+    """A wall-clock value read as UTC, whatever the session's time zone."""
+    return F.lit("1970-01-01T00:00:00Z").cast("timestamp") + (wall - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+
+
+def to_utc_clock(ts: Column) -> Column:
+    """A timestamp as its wall-clock value in UTC, whatever the session's time zone."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + (ts - F.lit("1970-01-01T00:00:00Z").cast("timestamp"))
 
 
 def interval_start(ts: Column, interval: str) -> Column:

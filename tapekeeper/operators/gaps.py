@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapekeeper.functions.symbols import only_symbols
 from tapekeeper.functions.time import since
-from tapekeeper.schema import GAP_WINDOW, HEAL_WINDOW, MAX_GAP, PAGE_SIZE
+from tapekeeper.schema import GAP_WINDOW, HEAL_WINDOW, PAGE_SIZE
 
 # Ids per gap-search bucket: bounds both the array a group can build and the work of one row.
 BUCKET = 1024
@@ -60,9 +60,10 @@ def gap_ranges(trades: DataFrame, symbols=None, as_of=None, window=HEAL_WINDOW,
         (F.col("after") - F.col("before") - 1).alias("missing"))
 
 
-def plan_heal(gaps: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:
-    """Gaps with an action: HEAL, or SKIPPED for one wider than ``max_gap``, kept so it can be reported."""
-    return gaps.withColumn("action", F.when(F.col("missing") > max_gap, F.lit("SKIPPED")).otherwise(F.lit("HEAL")))
+def plan_heal(gaps: DataFrame, max_gap: int | None = None) -> DataFrame:
+    """Gaps with an action: HEAL, or, if the caller sets a limit, SKIPPED for wider ones, kept so they can be reported."""
+    wide = F.lit(False) if max_gap is None else F.col("missing") > max_gap
+    return gaps.withColumn("action", F.when(wide, F.lit("SKIPPED")).otherwise(F.lit("HEAL")))
 
 
 def explode_steps(df: DataFrame, name: str, first: Column, last: Column, step: int) -> DataFrame:

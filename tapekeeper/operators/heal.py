@@ -14,10 +14,14 @@ def heal(plan: DataFrame, history: DataFrame, span: int = SPAN) -> DataFrame:
     """History rows whose id lies in a gap marked HEAL, each once.
 
     A range join spelled as an equi-join on (symbol, id div span): it hashes evenly even when one
-    symbol holds most ids, and Spark may broadcast the gaps when it sees they are small. Gaps never
+    symbol holds most ids. Before it the history is cut to the ids between the first and the last gap,
+    which its files' statistics can skip. Over a written plan Spark sees how small the gaps are and
+    broadcasts them, so the history is not shuffled; a large plan makes it a shuffled join. Gaps never
     overlap, so an id matches one gap at most.
     """
     gaps = plan.filter("action = 'HEAL'").select("symbol", "gap_start", "gap_end")
+    first, last = gaps.agg(F.min("gap_start")).scalar(), gaps.agg(F.max("gap_end")).scalar()
+    history = history.filter((F.col("trade_id") >= first) & (F.col("trade_id") <= last))
     gaps = explode_steps(gaps, "_span", F.expr(f"gap_start div {span}"), F.expr(f"gap_end div {span}"), 1)
     rows = history.withColumn("_span", F.expr(f"trade_id div {span}"))
     inside = F.col("trade_id").between(F.col("gap_start"), F.col("gap_end"))
@@ -31,13 +35,14 @@ def heal_audit(plan: DataFrame, healed: DataFrame) -> DataFrame:
     """
     tried = plan.filter("action = 'HEAL'").select("symbol", F.lit(0).cast("long").alias("n"))
     got = healed.select("symbol", F.lit(1).cast("long").alias("n"))
-    per_symbol = tried.unionByName(got).groupBy("symbol").agg(F.sum("n").alias("n"))
-    total = per_symbol.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.lit(ALL_SYMBOLS).alias("symbol"),
-        F.when(F.col("n") > 0, F.lit(BACKFILLED)).otherwise(F.lit(OK)).alias("status"), "n")
-    each = per_symbol.select("symbol", F.lit(BACKFILLED).alias("status"), "n")
-    return total.unionByName(each).select(
-        F.lit(BACKFILL).alias("check_name"), "symbol", "status", F.col("n").cast("double").alias("value"))
+    none = plan.sparkSession.range(1).select(F.lit(None).cast("string").alias("symbol"), F.lit(0).cast("long").alias("n"))
+    per_symbol = tried.unionByName(got).unionByName(none).groupBy("symbol").agg(F.sum("n").alias("n"))
+    sums = per_symbol.rollup("symbol").agg(F.sum("n").alias("n"), F.grouping("symbol").alias("is_total"))
+    is_total = F.col("is_total") == 1
+    status = F.when(is_total & (F.col("n") == 0), F.lit(OK)).otherwise(F.lit(BACKFILLED))
+    return sums.filter(is_total | F.col("symbol").isNotNull()).select(
+        F.lit(BACKFILL).alias("check_name"), F.when(is_total, F.lit(ALL_SYMBOLS)).otherwise(F.col("symbol")).alias("symbol"),
+        status.alias("status"), F.col("n").cast("double").alias("value"))
 
 
 def heal_disabled(spark) -> DataFrame:

@@ -19,10 +19,23 @@ def check_rows(df: DataFrame, name: str, symbol: Column, bad: Column, status: st
         F.when(bad, F.lit(status)).otherwise(F.lit(OK)).alias("status"), value.cast("double").alias("value"))
 
 
+def seen_partial(trades: DataFrame) -> DataFrame:
+    """Newest trade time per symbol of one block of trades."""
+    return trades.groupBy("symbol").agg(F.max("trade_time").alias("newest"))
+
+
+def seen_merge(partials: DataFrame) -> DataFrame:
+    """Newest trade time per symbol from any number of partials."""
+    return partials.groupBy("symbol").agg(F.max("newest").alias("newest"))
+
+
 def last_seen(trades: DataFrame) -> DataFrame:
-    """Rows and newest trade time per symbol: the one pass that freshness and stalls share."""
-    return trades.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("trade_time").alias("newest"))
+    """Rows and newest trade time per symbol: the one pass that freshness and stalls share.
+
+    A last-seen table (symbol, newest) does as well as the trades themselves.
+    """
+    time = "newest" if "newest" in trades.columns else "trade_time"
+    return trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.max(time).alias("newest"))
 
 
 def check_freshness(trades: DataFrame, as_of=None, threshold=FRESHNESS_SECONDS) -> DataFrame:

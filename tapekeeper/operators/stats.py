@@ -58,6 +58,11 @@ def latency_stats(trades: DataFrame, as_of=None, interval="2 minutes", exact: bo
         F.max("max_ms").alias("max_ms"))
 
 
+def latency_display(stats: DataFrame) -> DataFrame:
+    """The percentiles with one decimal."""
+    return stats.withColumns({c: round_even(F.col(c), 1) for c in stats.columns if c.startswith("p")})
+
+
 def value_counts(df: DataFrame, column: str, width: int = 1 << 14) -> DataFrame:
     """(bin, v, n): rows per integer value, laid out by bins of ``width`` neighbouring values."""
     value = F.col(column).cast("long")

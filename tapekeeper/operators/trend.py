@@ -24,7 +24,7 @@ def moving_averages(trades: DataFrame, sizes=MOVING_AVERAGE_SIZES, unit: str = "
     """Bucket means with one rolling mean per size, all from a single sort.
 
     Each frame is the current bucket and the N before it, so N+1 rows. Frames count buckets:
-    silent buckets are not filled in, and the first N are partial. Trades are reduced to buckets
+    silent buckets are not filled in, the first N are partial, and buckets without a price count for nothing. Trades are reduced to buckets
     before the window, so its input is bounded by time and not by traffic.
 
     Every mean is the difference of two running sums, so a frame of 1440 buckets costs no more than
@@ -34,13 +34,14 @@ def moving_averages(trades: DataFrame, sizes=MOVING_AVERAGE_SIZES, unit: str = "
     w = Window.partitionBy("symbol").orderBy("time")
     money = T.DecimalType(27, scale)  # summed (37) and subtracted (38), it keeps every digit
     total = F.sum(F.col("price").cast(money)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    buckets = minute_price(trades, unit).withColumns({"_total": total, "_rank": F.row_number().over(w)})
+    filled = F.count("price").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    buckets = minute_price(trades, unit).withColumns({"_total": F.coalesce(total, F.lit(0).cast(money)), "_filled": filled})
     means = {}
     for n in sizes:
         earlier = F.coalesce(F.lag("_total", n + 1).over(w), F.lit(0).cast(money))
-        rows = F.least(F.col("_rank"), F.lit(n + 1))
-        means[f"ma_{n}"] = (F.col("_total") - earlier).cast("double") / rows
-    return buckets.withColumns(means).drop("_total", "_rank")
+        rows = F.col("_filled") - F.coalesce(F.lag("_filled", n + 1).over(w), F.lit(0))
+        means[f"ma_{n}"] = F.try_divide((F.col("_total") - earlier).cast("double"), rows.cast("double"))
+    return buckets.withColumns(means).drop("_total", "_filled")
 
 
 def moving_average(trades: DataFrame, size: int = 60, unit: str = "minute", scale: int = 17) -> DataFrame:

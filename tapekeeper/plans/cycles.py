@@ -1,44 +1,84 @@
 """One monitoring cycle and one healing cycle, each a single lazy plan for a scheduler to run."""
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tapekeeper.operators.dedup import merge_rows
 from tapekeeper.operators.gaps import gap_ranges, plan_heal
 from tapekeeper.operators.heal import heal, heal_audit, heal_disabled, stamp
 from tapekeeper.operators.health import check_freshness, check_symbol_stalls, check_trade_gaps
-from tapekeeper.schema import FRESHNESS_SECONDS, GAP_WINDOW, HEAL_WINDOW, MAX_GAP, STALL_SECONDS
+from tapekeeper.operators.health import seen_partial
+from tapekeeper.operators.peaks import peak_partial
+from tapekeeper.schema import FRESHNESS_SECONDS, GAP_WINDOW, HEAL_WINDOW, STALL_SECONDS
+from tapekeeper.sinks.tables import read_seen, write_batch, write_peaks, write_seen
+from tapekeeper.sources.tables import scan_trades
 
 
 def run_health(trades: DataFrame, symbols, as_of=None, freshness=FRESHNESS_SECONDS, stall=STALL_SECONDS,
-               gap_window=GAP_WINDOW) -> DataFrame:
-    """All check rows of one cycle; write them with one ``append_checks``."""
-    return (check_freshness(trades, as_of, freshness)
-            .unionByName(check_symbol_stalls(trades, symbols, as_of, stall))
+               gap_window=GAP_WINDOW, seen: DataFrame | None = None) -> DataFrame:
+    """All check rows of one cycle; write them with one ``append_checks``.
+
+    With ``seen``, the last-seen table, freshness and stalls don't look at the trades, which then
+    need to reach back no further than the gap window.
+    """
+    newest = trades if seen is None else seen
+    return (check_freshness(newest, as_of, freshness)
+            .unionByName(check_symbol_stalls(newest, symbols, as_of, stall))
             .unionByName(check_trade_gaps(trades, symbols, as_of, gap_window)))
 
 
+def run_stored_health(spark: SparkSession, path: str, seen_path: str, symbols, as_of=None, freshness=FRESHNESS_SECONDS,
+                      stall=STALL_SECONDS, gap_window=GAP_WINDOW) -> DataFrame:
+    """The same over the stored tables: a few day folders for the gaps, and the last-seen table for the rest."""
+    recent = scan_trades(spark, path, as_of, gap_window)
+    return run_health(recent, symbols, as_of, freshness, stall, gap_window, read_seen(spark, seen_path))
+
+
 class HealCycle(NamedTuple):
     plan: DataFrame | None    # gaps with HEAL or SKIPPED
     rows: DataFrame | None    # trades to write, stamped
     audit: DataFrame          # check rows
+    cycle_id: str = ""        # under which the rows are stored
 
 
 def run_heal(trades: DataFrame, history: DataFrame | None, symbols=None, as_of=None, window=HEAL_WINDOW,
-             max_gap: int = MAX_GAP, pin: bool = False) -> HealCycle:
-    """Find gaps, skip the oversized, fetch the rest from history and audit it. No history: DISABLED.
+             max_gap: int | None = None, pin: bool | None = None) -> HealCycle:
+    """Find gaps, fetch their rows from history and audit it. No history: DISABLED. Wider gaps than ``max_gap``, if set, are skipped.
 
-    ``pin`` checkpoints the plan (to the session's checkpoint folder), so that rows and audit, when
-    run one after the other, agree on a tape that keeps growing, and gaps are searched once.
+    ``pin`` writes the plan to the session's checkpoint folder (the default where one is set), so
+    that rows and audit, run one after the other, agree on a tape that keeps growing, gaps are
+    searched once, and the join with the history knows how few they are.
     """
+    spark, cycle = trades.sparkSession, uuid.uuid4().hex
     if history is None:
-        return HealCycle(None, None, heal_disabled(trades.sparkSession))
+        return HealCycle(None, None, heal_disabled(spark), cycle)
     plan = plan_heal(gap_ranges(trades, symbols, as_of, window), max_gap)
-    if pin:
-        plan = plan.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if pin and not folder:
+        raise ValueError("set spark.checkpoint.dir to pin the plan of a healing cycle")
+    if folder and pin is not False:
+        plan.write.parquet(f"{folder}/heal-{cycle}")
+        plan = spark.read.schema(plan.schema).parquet(f"{folder}/heal-{cycle}")
     healed = heal(plan, history)
-    return HealCycle(plan, stamp(healed, as_of), heal_audit(plan, healed))
+    return HealCycle(plan, stamp(healed, as_of), heal_audit(plan, healed), cycle)
+
+
+def store_heal(cycle: HealCycle, path: str, peaks_path: str | None = None, seen_path: str | None = None) -> None:
+    """Write a cycle's rows beside all that is stored, and fold their peaks and newest times.
+
+    Each cycle is a writer of its own, so no cycle replaces another's rows; storing the same cycle
+    again replaces just its own.
+    """
+    if cycle.rows is None:
+        return
+    writer = f"heal-{cycle.cycle_id}"
+    write_batch(cycle.rows, path, writer)
+    if peaks_path is not None:
+        write_peaks(peak_partial(cycle.rows), peaks_path, writer)
+    if seen_path is not None:
+        write_seen(seen_partial(cycle.rows), seen_path, writer)
 
 
 def healed_view(trades: DataFrame, cycle: HealCycle) -> DataFrame:

@@ -13,7 +13,7 @@ TRADE_MESSAGE = T.StructType([
     T.StructField("trade_time", T.LongType()),
 ])
 
-# The same record as an Avro contract, for connectors that need the JSON form.
+# Fixed value: the same record as an Avro contract, for connectors that need the JSON form.
 TRADE_AVRO = """
 {"type": "record", "name": "Trade", "fields": [
   {"name": "symbol", "type": "string"},
@@ -35,9 +35,10 @@ TRADE = T.StructType([
 # The fact table: ingested_at is filled at write time and is also the dedup version.
 TRADES = T.StructType(TRADE.fields + [T.StructField("ingested_at", T.TimestampType())])
 
-# As stored: partitioned by day, then by the micro-batch that wrote the rows.
+# As stored: partitioned by UTC day, then by who wrote the rows and in which of its batches.
 STORED_TRADES = T.StructType(TRADES.fields + [
     T.StructField("trade_date", T.DateType()),
+    T.StructField("writer", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -46,6 +47,12 @@ PEAKS = T.StructType([
     T.StructField("peak", T.DoubleType()),
 ])
 
+# Newest trade per symbol: partial maxima, like the peaks.
+SEEN = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("newest", T.TimestampType()),
+])
+
 CHECKS = T.StructType([
     T.StructField("check_name", T.StringType()),
     T.StructField("symbol", T.StringType()),
@@ -72,7 +79,6 @@ STALL_SECONDS = 300
 GAP_WINDOW = "10 minutes"
 HEAL_WINDOW = "15 minutes"
 PEAK_WINDOW = "10 minutes"
-MAX_GAP = 500_000
 PAGE_SIZE = 1000
 RETENTION_DAYS = 30
 MOVING_AVERAGE_SIZES = (15, 60, 240, 720, 1440)

@@ -1,69 +1,94 @@
-"""Writing the stored tables: micro-batches of trades, the check log, and their rewrites."""
+"""Writing the stored tables: micro-batches of trades, state tables, the check log, and their rewrites.
 
-from contextlib import contextmanager
+Every stored batch lies in folders named after its writer and the writer's batch number, and only a
+batch of the same writer and number ever replaces it. A stream's writer is its query id, which lives
+in its checkpoint; a healing cycle, a seed and a compaction are writers of their own each time.
+"""
+
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapekeeper.functions.time import instant, span
+from tapekeeper.functions.time import instant, span, utc_day
 from tapekeeper.operators.alerts import retain
 from tapekeeper.operators.dedup import dedup_latest
+from tapekeeper.operators.health import seen_merge
 from tapekeeper.operators.peaks import peak_merge
-from tapekeeper.schema import CHECKS, KEY, PEAKS, RETENTION_DAYS, STORED_CHECKS, STORED_TRADES, TRADES
+from tapekeeper.schema import CHECKS, KEY, PEAKS, RETENTION_DAYS, SEEN, STORED_CHECKS, STORED_TRADES, TRADES
+
 
-# Batch number of the peak seed; streams number their batches from 0.
-SEED_BATCH = -1
+def new_writer(kind: str) -> str:
+    """A writer name that nobody had before."""
+    return f"{kind}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def plain_timestamps(spark: SparkSession):
-    """While open, parquet writes keep min/max of timestamps, so time filters can skip row groups."""
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def plain_timestamps(spark: SparkSession) -> None:
+    """From now on parquet writes of the session keep min/max of timestamps, so time filters can skip row groups."""
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
 
 
-def write_batch(trades: DataFrame, path: str, batch_id: int, as_of=None) -> None:
+def write_batch(trades: DataFrame, path: str, writer: str, batch_id: int = 0, as_of=None) -> None:
     """Write one batch so that writing it again changes nothing.
 
-    Rows go to (trade_date, batch_id) folders and replace only those. Late rows land in their own
-    day. The rebalance lets Spark split a day that holds most of the batch and join small ones; the
-    sort gives row groups tight id ranges. Streams number their batches from 0; other writers, such
-    as a healing cycle, take negative numbers of their own, so nobody replaces another's rows.
+    Rows go to (trade_date, writer, batch_id) folders and replace only those. Late rows land in
+    their own day. The rebalance lets Spark split a day that holds most of the batch and join small
+    ones; the sort gives row groups tight id ranges.
     """
     stamped = trades if "ingested_at" in trades.columns else trades.withColumn("ingested_at", instant(as_of))
     rows = stamped.select(*TRADES.names).withColumns(
-        {"trade_date": F.to_date("trade_time"), "batch_id": F.lit(batch_id).cast("long")})
-    rows = rows.hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "batch_id", *KEY)
-    with plain_timestamps(trades.sparkSession):
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("trade_date", "batch_id").parquet(path))
+        {"trade_date": utc_day(F.col("trade_time")), "writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
+    rows = rows.hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "writer", "batch_id", *KEY)
+    plain_timestamps(trades.sparkSession)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("trade_date", "writer", "batch_id").parquet(path))
+
+
+def bounded(stored: DataFrame, as_of=None, window=None, low=None, high=None) -> DataFrame:
+    """Stored rows newer than ``as_of - window`` and from ``low`` to ``high``, both included, where given.
+
+    A filter on the timestamp alone prunes no day folder, so the matching day bound is added here.
+    """
+    if window is not None:
+        start = instant(as_of) - span(window)
+        stored = stored.filter((F.col("trade_date") >= utc_day(start)) & (F.col("trade_time") > start))
+    if low is not None:
+        stored = stored.filter((F.col("trade_date") >= utc_day(instant(low))) & (F.col("trade_time") >= instant(low)))
+    if high is not None:
+        stored = stored.filter((F.col("trade_date") <= utc_day(instant(high))) & (F.col("trade_time") <= instant(high)))
+    return stored
+
 
+def read_stored(spark: SparkSession, path: str, as_of=None, window=None, low=None, high=None) -> DataFrame:
+    """Stored trades with duplicates resolved, optionally only those of a range; other days are not read.
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """Stored trades with duplicates resolved; equal versions go to the later batch."""
-    stored = spark.read.schema(STORED_TRADES).parquet(path).drop("trade_date")
-    return dedup_latest(stored, tiebreak=["batch_id"]).drop("batch_id")
+    Equal versions go to the later writer by name, then its later batch. A trade's time never
+    changes, so bounding the rows before resolving duplicates is exact, and copies meet within their day.
+    """
+    stored = bounded(spark.read.schema(STORED_TRADES).parquet(path), as_of, window, low, high)
+    kept = dedup_latest(stored, [*KEY, "trade_date"], tiebreak=["writer", "batch_id"])
+    return kept.drop("trade_date", "writer", "batch_id")
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the stored trades to a new place, deduplicated, one batch folder per day."""
-    kept = read_stored(spark, path)
-    write_batch(kept, target, batch_id=0)
+    """Rewrite the stored trades to a new place, deduplicated; streams may go on writing there."""
+    write_batch(read_stored(spark, path), target, new_writer("compact"))
+
 
+def overwrite_batch(rows: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
+    """Write rows as one batch folder of a writer, replacing only that batch."""
+    plain_timestamps(rows.sparkSession)
+    rows = rows.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path))
 
-def overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write rows as one batch folder, replacing only that batch."""
-    (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
+def write_peaks(partials: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
+    """Add peak partials to the state table."""
+    overwrite_batch(partials.select(*PEAKS.names), path, writer, batch_id)
 
-def write_peaks(partials: DataFrame, path: str, batch_id: int = SEED_BATCH) -> None:
-    """Add peak partials to the state table; without a batch number they are the seed, replaced when seeded again."""
-    overwrite_batch(partials.select(*PEAKS.names), path, batch_id)
+
+def seed_peaks(seed: DataFrame, path: str) -> None:
+    """Add a seed to the state table. Seeds add up by maximum: seeding again never lowers or removes a peak."""
+    write_peaks(seed, path, new_writer("seed"))
 
 
 def read_peaks(spark: SparkSession, path: str) -> DataFrame:
@@ -73,28 +98,38 @@ def read_peaks(spark: SparkSession, path: str) -> DataFrame:
 
 def compact_peaks(spark: SparkSession, path: str, target: str) -> None:
     """Rewrite the state table to a new place with one row per symbol."""
-    write_peaks(read_peaks(spark, path), target)
+    write_peaks(read_peaks(spark, path), target, new_writer("compact"))
+
+
+def write_seen(partials: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
+    """Add newest trade times to the last-seen table."""
+    overwrite_batch(partials.select(*SEEN.names), path, writer, batch_id)
+
+
+def read_seen(spark: SparkSession, path: str) -> DataFrame:
+    """Newest trade time per symbol: the only way to read the last-seen table."""
+    return seen_merge(spark.read.schema(SEEN).parquet(path))
 
 
 def append_checks(checks: DataFrame, path: str, as_of=None) -> None:
-    """Append check rows to the log, stamped with one time, one folder per day."""
+    """Append check rows to the log, stamped with one time, one folder per UTC day."""
     rows = checks.withColumn("checked_at", instant(as_of)).select(*CHECKS.names)
-    rows = rows.withColumn("check_date", F.to_date("checked_at")).hint("rebalance")  # few rows: joined into one file
-    with plain_timestamps(checks.sparkSession):
-        rows.write.mode("append").partitionBy("check_date").parquet(path)
+    rows = rows.withColumn("check_date", utc_day(F.col("checked_at"))).hint("rebalance")  # few rows: joined into one file
+    plain_timestamps(checks.sparkSession)
+    rows.write.mode("append").partitionBy("check_date").parquet(path)
 
 
 def read_checks(spark: SparkSession, path: str, as_of=None, days: int | None = None) -> DataFrame:
     """The check log; with ``days`` only rows that recent, and only their day folders are read."""
     stored = spark.read.schema(STORED_CHECKS).parquet(path)
     if days is not None:
-        first_day = F.to_date(instant(as_of) - span(f"{days} days"))
+        first_day = utc_day(instant(as_of) - span(f"{days} days"))
         stored = retain(stored.filter(F.col("check_date") >= first_day), as_of, days)
     return stored.drop("check_date")
 
 
 def rewrite_retained(spark: SparkSession, path: str, target: str, as_of=None, days: int = RETENTION_DAYS) -> None:
     """Copy the check rows still within retention to a new place; expired day folders are not read."""
-    kept = read_checks(spark, path, as_of, days).withColumn("check_date", F.to_date("checked_at"))
-    with plain_timestamps(spark):
-        kept.hint("rebalance", "check_date").write.mode("errorifexists").partitionBy("check_date").parquet(target)
+    kept = read_checks(spark, path, as_of, days).withColumn("check_date", utc_day(F.col("checked_at")))
+    plain_timestamps(spark)
+    kept.hint("rebalance", "check_date").write.mode("errorifexists").partitionBy("check_date").parquet(target)

@@ -13,20 +13,27 @@ MAGIC = "00"
 def parse_frames(df: DataFrame, column: str = "raw") -> DataFrame:
     """Trade frames as typed rows plus ``reason``; frames of any other kind are left out.
 
-    The payload may sit under ``data`` or be the frame itself. ``json_tuple`` reads all keys in one
-    pass and, unlike a case-insensitive struct, tells ``t`` from ``T``. Text that is no JSON object
-    comes out with a reason; only frames without a kind are looked at again to find that out.
+    The payload is the object under ``data``, or the frame itself where it has no ``data``. Each
+    frame is parsed once, into a variant, whose paths tell ``t`` from ``T``. Text that is not one
+    whole JSON object, or whose ``data`` is none, comes out with a reason. The frame is parsed as the
+    only item of a list, so that text after it shows.
     """
     keys = {"kind": "e", **FRAME_KEYS}
-    outer = df.select(F.col(column).alias("raw"), F.json_tuple(column, "data", *keys.values()).alias(
-        "_data", *[f"_outer_{name}" for name in keys]))
-    both = outer.select("*", F.json_tuple("_data", *keys.values()).alias(*[f"_inner_{name}" for name in keys]))
-    wrapped = F.coalesce(F.startswith("_data", F.lit("{")), F.lit(False))
-    fields = both.select("raw", *[
-        F.when(wrapped, F.col(f"_inner_{name}")).otherwise(F.col(f"_outer_{name}")).alias(name) for name in keys])
-    is_object = F.from_json("raw", "map<string,string>").isNotNull()
-    broken = F.when(F.col("kind").isNull(), ~is_object).otherwise(F.lit(False))
-    wanted = fields.withColumn("_broken", broken).filter((F.col("kind") == "trade") | F.col("_broken"))
+    raw = F.col(column).alias("raw")
+    read = df.select(raw, F.try_parse_json(F.concat(F.lit("["), column, F.lit("]"))).alias("_v"))
+
+    def at(path, kind="string"):
+        return F.try_variant_get("_v", path, kind)
+
+    def is_object(path):
+        return F.coalesce(F.startswith(F.schema_of_variant(at(path, "variant")), F.lit("OBJECT")), F.lit(False))
+
+    has_data = at("$[0].data", "variant").isNotNull()
+    whole = is_object("$[0]") & at("$[1]", "variant").isNull() & F.endswith(F.rtrim("raw"), F.lit("}"))
+    sound = F.coalesce(whole & (~has_data | is_object("$[0].data")), F.lit(False))
+    fields = read.select("raw", (~sound).alias("_broken"), *[
+        F.when(has_data, at(f"$[0].data.{key}")).otherwise(at(f"$[0].{key}")).alias(name) for name, key in keys.items()])
+    wanted = fields.filter((F.col("kind") == "trade") | F.col("_broken"))
     return type_trades(wanted.withColumn(
         REASON, F.when(F.col("_broken"), F.lit("not a JSON object"))), keep=["raw"])
 

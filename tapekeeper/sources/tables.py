@@ -1,9 +1,9 @@
 """Reading the tape: the trade stream, and the stored tables with day pruning."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tapekeeper.functions.time import instant, span
 from tapekeeper.schema import STORED_TRADES
+from tapekeeper.sinks.tables import bounded
 
 
 def read_trades(spark: SparkSession, source: str, schema=None, **options) -> DataFrame:
@@ -22,13 +22,6 @@ def read_trades(spark: SparkSession, source: str, schema=None, **options) -> Dat
     return reader.schema(schema).options(**options).load()
 
 
-def scan_trades(spark: SparkSession, path: str, as_of=None, window=None) -> DataFrame:
-    """Stored trades, raw (duplicates included), optionally only those newer than ``as_of - window``.
-
-    A filter on the timestamp alone prunes no day folder, so the matching day bound is added here.
-    """
-    stored = spark.read.schema(STORED_TRADES).parquet(path)
-    if window is None:
-        return stored
-    start = instant(as_of) - span(window)
-    return stored.filter((F.col("trade_date") >= F.to_date(start)) & (F.col("trade_time") > start))
+def scan_trades(spark: SparkSession, path: str, as_of=None, window=None, low=None, high=None) -> DataFrame:
+    """Stored trades, raw (duplicates included), optionally only those of a lookback or range; other days are not read."""
+    return bounded(spark.read.schema(STORED_TRADES).parquet(path), as_of, window, low, high)

@@ -5,34 +5,45 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tapekeeper.operators.health import seen_partial
 from tapekeeper.operators.peaks import peak_partial
 from tapekeeper.schema import KEY
-from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_peaks
+from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_peaks, write_seen
 from tapekeeper.sources.intake import REASON, split_valid
 
 
+# Fixed value: where Spark keeps the running stream's id.
+QUERY_ID = "sql.streaming.queryId"
+
+
 def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | None = "2 seconds",
-                 peaks_path: str | None = None, quarantine_path: str | None = None) -> StreamingQuery:
+                 peaks_path: str | None = None, quarantine_path: str | None = None,
+                 seen_path: str | None = None) -> StreamingQuery:
     """Write a stream of typed trades, one folder per micro-batch, and return the running query.
 
     Offsets are committed only after the batch is written, and a replayed batch overwrites its own
-    folders, so a crash at any point loses and repeats nothing once reads resolve duplicates.
-    ``flush`` is the batch interval (None: drain what is there, then stop); batch size is set on the
-    source. With ``peaks_path`` each batch also leaves its peak partials, with ``quarantine_path``
-    its unusable rows. No watermark: rows may arrive at any age.
+    folders, so a crash at any point loses and repeats nothing once reads resolve duplicates. The
+    writer is the query's id, which its checkpoint keeps over restarts: other streams, a fresh
+    checkpoint, healing and compaction all write beside it. ``flush`` is the batch interval (None:
+    drain what is there, then stop); batch size is set on the source. With ``peaks_path`` each batch
+    also leaves its peak partials, with ``seen_path`` its newest times, with ``quarantine_path`` its
+    unusable rows. No watermark: rows may arrive at any age.
     """
-    several = peaks_path is not None or quarantine_path is not None
+    several = any(p is not None for p in (peaks_path, quarantine_path, seen_path))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         if several:
             batch = batch.persist()  # read once per target; lost blocks are recomputed from the source
         try:
             good, bad = split_valid(batch) if REASON in batch.columns else (batch, None)
-            write_batch(good, path, batch_id)
+            write_batch(good, path, writer, batch_id)
             if peaks_path is not None:
-                write_peaks(peak_partial(good), peaks_path, batch_id)
+                write_peaks(peak_partial(good), peaks_path, writer, batch_id)
+            if seen_path is not None:
+                write_seen(seen_partial(good), seen_path, writer, batch_id)
             if quarantine_path is not None and bad is not None:
-                overwrite_batch(bad, quarantine_path, batch_id)
+                overwrite_batch(bad, quarantine_path, writer, batch_id)
         finally:
             if several:
                 batch.unpersist()
@@ -50,8 +61,9 @@ def peak_stream(stream: DataFrame) -> DataFrame:
 def dedup_stream(stream: DataFrame, delay: str) -> DataFrame:
     """Drops repeats of a trade that arrive within ``delay`` of it, with state bounded by that delay.
 
-    For readers that cannot resolve duplicates themselves; the stored table keeps the exact,
-    unbounded rule.
+    Trades older than the watermark, the newest trade time less ``delay``, are LOST here: Spark drops
+    them. So this is only for live readers that cannot resolve duplicates themselves, never the way
+    into the stored table, whose writer takes rows of any age and whose reads keep the exact rule.
     """
     return stream.withWatermark("trade_time", delay).dropDuplicatesWithinWatermark(KEY)
 

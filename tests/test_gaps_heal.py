@@ -145,3 +145,14 @@ def test_audit_counts_each_symbol(spark):
     assert tuples(heal_audit(plan, healed)) == [
         ("backfill", "A", "BACKFILLED", 3.0), ("backfill", "ALL", "BACKFILLED", 4.0),
         ("backfill", "B", "BACKFILLED", 1.0)]
+
+
+def test_a_gap_wider_than_half_a_million_is_healed(spark):
+    tape = ids_of(spark, "A", [1, 600_000])
+    history = ids_of(spark, "A", [2]).union(spark.range(3, 600_000).select(
+        F.lit("A").alias("symbol"), F.col("id").alias("trade_id"), F.lit(1).cast("decimal(18,8)").alias("price"),
+        F.lit(1).cast("decimal(18,8)").alias("quantity"), F.current_timestamp().alias("trade_time"),
+        F.current_timestamp().alias("ingested_at")))
+    cycle = run_heal(tape, history, as_of=NOW)
+    assert cycle.rows.count() == 599_998
+    assert tuples(cycle.audit) == [("backfill", "A", "BACKFILLED", 599_998.0), ("backfill", "ALL", "BACKFILLED", 599_998.0)]

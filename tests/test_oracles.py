@@ -7,7 +7,8 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -29,14 +30,14 @@ def bag(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, sf_dir, duck):
-    df = driver.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     got = bag(df.columns, df.collect())
-    result = duck.execute(driver.oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     want = bag(columns, result.fetchall())
     assert sorted(df.columns) == sorted(columns)

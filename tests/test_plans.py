@@ -4,20 +4,19 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
 from catalog import tape
 from catalog.queries import QUERIES
 from tapekeeper.operators import dedup, gaps, heal, trend
 from tests.helpers import ids_of
 
-WRITING = {"stream_write", "stream_peaks", "stream_dedup", "stored_scan", "stored_checks"}
+WRITING = {name for name in QUERIES if name.startswith(("stream_", "stored_", "two_", "compacted_", "healed_p", "reseeded_"))}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_cross_join_and_no_python_per_row(name, spark, sf_dir):
     text = plan(QUERIES[name](spark, sf_dir))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
@@ -66,6 +65,24 @@ def test_heal_joins_on_symbol_and_span_without_broadcast(spark):
     assert re.search(r"SortMergeJoin \[symbol#\d+, _span#\d+L\], \[symbol#\d+, _span#\d+L\], Inner", text)
 
 
+def test_a_pinned_plan_spares_the_history_a_shuffle(spark, tmp_path):
+    from tapekeeper.plans.cycles import run_heal
+    ids_of(spark, "A", range(1, 3000)).write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    cycle = run_heal(ids_of(spark, "A", [1, 5, 9]), history, as_of="2024-03-01 12:00:00", pin=True)
+    text = plan(cycle.rows)
+    assert "BroadcastHashJoin" in text and "hashpartitioning(symbol" not in text.split("Subquery")[0]
+    assert cycle.rows.count() == 6
+    assert plan(cycle.audit).count("FileScan") <= 2 * plan(cycle.rows).count("FileScan")
+
+
+def test_latest_sorts_no_raw_rows(spark):
+    from tapekeeper.operators.latest import latest_by
+    text = plan(latest_by(ids_of(spark, "A", [1, 5]), ["symbol"], ["price"], ["trade_time", "trade_id"]))
+    first = text[text.rindex("partial_max(trade_time"):] if "partial_max(trade_time" in text else ""
+    assert first and "SortAggregate" not in first
+
+
 def test_health_cycle_counts_the_tape_once(spark):
     from tapekeeper.plans.cycles import run_health
     rows = run_health(ids_of(spark, "A", [1, 5]), ["A"], "2024-03-01 12:00:00")

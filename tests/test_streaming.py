@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from tapekeeper.operators.dedup import dedup_latest
 from tapekeeper.operators.peaks import peak_partial
 from tapekeeper.schema import TRADES
-from tapekeeper.plans.cycles import run_heal
-from tapekeeper.sinks.tables import compact, compact_peaks, read_peaks, read_stored, write_batch, write_peaks
+from tapekeeper.plans.cycles import run_heal, run_stored_health, store_heal
+from tapekeeper.sinks.tables import (
+    compact, compact_peaks, read_peaks, read_seen, read_stored, seed_peaks, write_batch, write_peaks)
 from tapekeeper.sources.frames import parse_frames
 from tapekeeper.sources.tables import read_trades, scan_trades
 from tapekeeper.streaming.trades import dedup_stream, peak_stream, stream_lag, write_trades
@@ -53,10 +54,10 @@ def test_writer_equals_batch_and_resumes(spark, source, tmp_path):
 def test_replayed_batch_changes_nothing(spark, source, tmp_path):
     out = str(tmp_path / "out")
     batch = spark.read.schema(TRADES).parquet(source)
-    write_batch(batch, out, 4)
-    write_batch(ids_of(spark, "C", [1]), out, 5)
+    write_batch(batch, out, "w", 4)
+    write_batch(ids_of(spark, "C", [1]), out, "w", 5)
     before = tuples(scan_trades(spark, out))
-    write_batch(batch, out, 4)
+    write_batch(batch, out, "w", 4)
     assert tuples(scan_trades(spark, out)) == before
 
 
@@ -69,30 +70,88 @@ def test_lost_checkpoint_replays_everything_without_double_counting(spark, sourc
 
 def test_later_batch_wins_equal_versions(spark, tmp_path):
     out = str(tmp_path / "out")
-    write_batch(tape_of(spark, trade("A", 1, "9")), out, 1)
-    write_batch(tape_of(spark, trade("A", 1, "3")), out, 2)
+    write_batch(tape_of(spark, trade("A", 1, "9")), out, "w", 1)
+    write_batch(tape_of(spark, trade("A", 1, "3")), out, "w", 2)
     assert read_stored(spark, out).first()["price"] == 3
 
 
 def test_seeded_peaks(spark, tmp_path):
     path, packed = str(tmp_path / "peaks"), str(tmp_path / "packed")
     seed = spark.createDataFrame([("A", 9.0), ("B", 1.0)], "symbol string, peak double")
+    seed_peaks(seed, path)
     for _ in range(2):
-        write_peaks(seed, path)
-        write_peaks(peak_partial(tape_of(spark, trade("A", 1, "5"), trade("B", 1, "2"))), path, 0)
+        write_peaks(peak_partial(tape_of(spark, trade("A", 1, "5"), trade("B", 1, "2"))), path, "w", 0)
     assert tuples(read_peaks(spark, path)) == [("A", 9.0), ("B", 2.0)]
     compact_peaks(spark, path, packed)
     assert tuples(read_peaks(spark, packed)) == [("A", 9.0), ("B", 2.0)]
     assert spark.read.parquet(path).count() == 4 and spark.read.parquet(packed).count() == 2
 
 
-def test_healed_rows_join_the_stored_tape(spark, tmp_path):
-    out = str(tmp_path / "out")
-    write_batch(ids_of(spark, "A", [1, 2, 6]), out, 0)
-    cycle = run_heal(scan_trades(spark, out), ids_of(spark, "A", range(1, 9)), as_of=NOW, pin=True)
+def test_seeding_again_never_lowers_or_loses_a_peak(spark, tmp_path):
+    path, packed = str(tmp_path / "peaks"), str(tmp_path / "packed")
+    peak = lambda *rows: spark.createDataFrame(rows, "symbol string, peak double")
+    write_peaks(peak(("A", 99.0)), path, "w")
+    compact_peaks(spark, path, packed)
+    seed_peaks(peak(("A", 10.0), ("B", 5.0)), packed)
+    seed_peaks(peak(("A", 10.0)), packed)
+    assert tuples(read_peaks(spark, packed)) == [("A", 99.0), ("B", 5.0)]
+
+
+def test_healed_rows_join_the_stored_tape_and_its_peaks(spark, tmp_path):
+    out, partials, seen = (str(tmp_path / n) for n in ("out", "peaks", "seen"))
+    write_batch(ids_of(spark, "A", [1, 2, 6]), out, "w", 0)
+    history = ids_of(spark, "A", range(1, 6)).union(tape_of(spark, trade("A", 9, "70")))
+    cycle = run_heal(scan_trades(spark, out), history, as_of=NOW, pin=True)
     for _ in range(2):
-        write_batch(cycle.rows, out, -7)
-    assert [r.trade_id for r in read_stored(spark, out).orderBy("trade_id").collect()] == [1, 2, 3, 4, 5, 6]
+        store_heal(cycle, out, partials, seen)
+    write_batch(ids_of(spark, "A", [10]), out, "w", 1)
+    store_heal(run_heal(scan_trades(spark, out), history, as_of=NOW), out, partials, seen)
+    assert [r.trade_id for r in read_stored(spark, out).orderBy("trade_id").collect()] == [1, 2, 3, 4, 5, 6, 9, 10]
+    assert tuples(read_peaks(spark, partials)) == [("A", 70.0)]
+    assert read_seen(spark, seen).count() == 1
+
+
+def test_two_streams_and_a_compacted_table_lose_nothing(spark, tmp_path):
+    out, packed = str(tmp_path / "out"), str(tmp_path / "packed")
+    for number, ids in enumerate(([1, 2], [3])):
+        folder = str(tmp_path / f"source{number}")
+        ids_of(spark, "A", ids).write.parquet(folder)
+        write_trades(stream(spark, folder, 9), out, str(tmp_path / f"marks{number}"), flush=None).awaitTermination()
+    assert read_stored(spark, out).count() == 3
+    compact(spark, out, packed)
+    ids_of(spark, "A", [4]).write.parquet(str(tmp_path / "late"))
+    write_trades(stream(spark, str(tmp_path / "late"), 9), packed, str(tmp_path / "fresh"), flush=None).awaitTermination()
+    assert [r.trade_id for r in read_stored(spark, packed).orderBy("trade_id").collect()] == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("zones", [("America/New_York", "UTC"), ("UTC", "Asia/Tokyo")])
+def test_days_are_utc_whatever_the_session(spark, tmp_path, zones):
+    from tapekeeper.sinks.tables import append_checks, read_checks
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    late = tape_of(spark, trade("A", 1, time="2024-02-29 23:59:00"), trade("A", 2, time="2024-03-01 00:01:00"))
+    checks = spark.createDataFrame([("freshness", "ALL", "OK", 1.0)], "check_name string, symbol string, status string, value double")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zones[0])
+        write_batch(late, out, "w")
+        append_checks(checks, log, "2024-02-29 23:59:00")
+        spark.conf.set("spark.sql.session.timeZone", zones[1])
+        assert scan_trades(spark, out, "2024-03-01 00:05:00", "10 minutes").count() == 2
+        assert read_stored(spark, out, low="2024-02-29 23:58:00", high="2024-02-29 23:59:30").count() == 1
+        assert read_checks(spark, log, "2024-03-01 23:58:00", days=1).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_stored_health_reads_only_recent_days(spark, source, tmp_path):
+    out, seen = str(tmp_path / "out"), str(tmp_path / "seen")
+    write_trades(stream(spark, source), out, str(tmp_path / "marks"), flush=None, seen_path=seen).awaitTermination()
+    rows = run_stored_health(spark, out, seen, "a,b,c", NOW)
+    from tapekeeper.plans.cycles import run_health
+    assert tuples(rows) == tuples(run_health(read_stored(spark, out), "a,b,c", NOW))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    filters = [part.split("]")[0] for part in plan.split("PartitionFilters: ")[1:]]
+    assert filters and all("trade_date" in f for f in filters if f != "[" and "trade_date" in plan and f.strip("["))
 
 
 def test_compaction_keeps_the_view(spark, source, tmp_path):
@@ -105,11 +164,14 @@ def test_compaction_keeps_the_view(spark, source, tmp_path):
 
 def test_scan_prunes_days(spark, source, tmp_path):
     out = str(tmp_path / "out")
-    write_batch(spark.read.schema(TRADES).parquet(source), out, 0)
+    write_batch(spark.read.schema(TRADES).parquet(source), out, "w", 0)
     recent = scan_trades(spark, out, NOW, "15 minutes")
     assert recent.count() == 6
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "trade_date" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    resolved = read_stored(spark, out, NOW, "15 minutes")
+    plan = resolved._jdf.queryExecution().executedPlan().toString()
+    assert "trade_date" in plan.split("PartitionFilters: ")[1].split("]")[0] and "trade_time" in plan.split("PushedFilters: ")[1].split("]")[0]
 
 
 def test_bad_frames_are_set_aside(spark, tmp_path):

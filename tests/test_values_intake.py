@@ -200,3 +200,23 @@ def test_topic_rows_are_keyed_by_symbol_and_ordered_on_files(spark, tmp_path):
     ranges = sorted((r.lo, r.hi) for r in files.groupBy("f").agg(
         F.min(F.struct("symbol", "trade_id")).alias("lo"), F.max(F.struct("symbol", "trade_id")).alias("hi")).collect())
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+@pytest.mark.parametrize("raw", [
+    json.dumps(FRAME) + " xyz", json.dumps(FRAME) + json.dumps(FRAME), json.dumps(FRAME) + "," + json.dumps(FRAME),
+    json.dumps({"data": json.dumps(FRAME)}), "[1]", '"text"', "", json.dumps({"data": None}), json.dumps(FRAME) + "]"])
+def test_text_that_is_not_one_object_is_set_aside(spark, raw):
+    rows = frames.parse_frames(spark.createDataFrame([(raw,)], "raw string")).collect()
+    assert [r.reason for r in rows] == ["not a JSON object"]
+
+
+def test_symbol_lists_are_cleaned_like_settings():
+    from tapekeeper.functions.symbols import parse_symbols
+    assert parse_symbols([" btc ", "ETH", "", "eth"]) == parse_symbols(" btc ,ETH,,eth") == ["BTC", "ETH"]
+
+
+def test_buckets_without_a_price_count_for_nothing(spark):
+    tape = tape_of(spark, *[trade("A", i, p, time=minute(i)) for i, p in ((1, "2"), (2, "3"), (3, "4"))])
+    tape = tape.withColumn("price", F.when(F.col("trade_id") != 2, F.col("price")))
+    got = [r.moving_avg for r in trend.moving_average(tape, 2).orderBy("time").collect()]
+    assert got == [2.0, 2.0, 3.0]
