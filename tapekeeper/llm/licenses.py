@@ -54,21 +54,17 @@ def template_weights(templates=TEMPLATES) -> tuple[dict[str, float], float, list
     return idf, math.log(1 + len(counts)) + 1, weights
 
 
-def anchors(weights: list[dict[str, float]], least: float) -> list[str]:
-    """Terms of which a text holds at least one if its cosine to some template reaches ``least``.
+def _may_reach(shared: Column, weights: list[dict[str, float]], least: float) -> Column:
+    """Whether the template terms that a text holds allow a cosine of ``least`` to some template.
 
-    Without the heaviest terms of a template, what is left of its unit vector is shorter than ``least``, and
-    by Cauchy-Schwarz so is the cosine of a text without them.
+    By Cauchy-Schwarz no cosine exceeds the length of the template's unit vector over the shared terms.
     """
-    found = set()
+    reached = F.lit(False)
     for of in weights:
-        left = 1.0
-        for term, weight in sorted(of.items(), key=lambda x: (-x[1], x[0])):
-            if left < (least - 1e-9) ** 2:
-                break
-            found.add(term)
-            left -= weight * weight
-    return sorted(found)
+        squares = F.map_from_arrays(F.array(*[F.lit(t) for t in of]), F.array(*[F.lit(w * w) for w in of.values()]))
+        total = F.aggregate(shared, F.lit(0.0), lambda run, t: run + F.coalesce(F.try_element_at(squares, t), F.lit(0.0)))
+        reached = reached | (total >= least * least - 1e-9)
+    return reached
 
 
 def _tables(spark: SparkSession, templates):
@@ -81,15 +77,18 @@ def _tables(spark: SparkSession, templates):
 def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
     """(file, license, score) of rows (file, text, whole): the best template that some line, or the ``whole`` file, reaches.
 
-    Equal scores go to the first licence by name. Only files, then lines, that hold an anchor term
-    are split into terms; by the bound that defines anchors no other can match.
+    Equal scores go to the first licence by name. Each line is split into terms, but only lines whose
+    template terms allow the least cosine go on to be counted, so what is shuffled is little.
     """
     terms, other, weighted, weights = _tables(files.sparkSession, templates)
-    holds = lambda c: _any(F.contains(c, F.lit(term)) for term in anchors(weights, least))
-    low = files.select("file", "whole", F.lower("text").alias("low")).filter(holds(F.col("low")))
-    units = F.concat(F.split("low", "\n"), F.when(F.col("whole"), F.array("low")).otherwise(F.array().cast("array<string>")))
-    lines = low.select("file", F.posexplode(units).alias("unit", "line")).filter(holds(F.col("line")))
-    words = lines.select("file", "unit", F.explode(F.expr(f"regexp_extract_all(line, '{TERM}', 0)")).alias("term"))
+    vocabulary = F.array(*[F.lit(term) for term in sorted({t for of in weights for t in of})])
+    low = F.lower("text")
+    units = F.concat(F.split(low, "\n"), F.when(F.col("whole"), F.array(low)).otherwise(F.array().cast("array<string>")))
+    lines = files.select("file", F.posexplode(units).alias("unit", "line")).select(
+        "file", "unit", F.regexp_extract_all("line", F.lit(f"({TERM})"), F.lit(1)).alias("terms"))
+    near = lines.withColumn("shared", F.array_intersect("terms", vocabulary)).filter(
+        F.size("shared") > 0).filter(_may_reach(F.col("shared"), weights, least))
+    words = near.select("file", "unit", F.explode("terms").alias("term"))
     counted = words.groupBy("file", "unit", "term").agg(F.count(F.lit(1)).alias("n"))
     valued = counted.join(terms, "term", "left").select(
         "file", "unit", "term", (F.col("n") * F.coalesce("idf", F.lit(other))).alias("value"))
@@ -103,13 +102,6 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
         "file", "license", "score")
 
 
-def _any(tests) -> Column:
-    out = F.lit(False)
-    for test in tests:
-        out = out | test
-    return out
-
-
 def scan_licenses(files: DataFrame, id_column: str = "file_id", path_column: str = "path", text_column: str = "text",
                   least: float = LEAST, templates=TEMPLATES) -> DataFrame:
     """(id, path, own_license, own_score, inherited_license, inherited_from, license) for every row.
