@@ -14,8 +14,11 @@ from tapekeeper.llm.shared import plain, with_groups, written
 # Vectors of a cell that one task compares: those at home in it, and those that look in from its neighbourhood.
 HOME, LOOK_IN = 4096, 16384
 
-# Slack for rounding in the rotated distances; what it lets through is verified.
-SLACK = 1e-9
+# Rows of the distance matrix, and pairs verified, at a time.
+TILE, PAIRS = 256, 1 << 16
+
+# What a block's budget allows for rounding: of the grid, and of distances in single precision.
+SLACK, ROUGH = 1e-9, 1e-5
 
 
 def rotation(size: int, seed: int = 11) -> np.ndarray:
@@ -24,115 +27,146 @@ def rotation(size: int, seed: int = 11) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _cells(spots: np.ndarray, block: int, size: int) -> np.ndarray:
-    """One number per cell of the grid, the block and the vectors' length."""
-    code = np.full(spots.shape[:-1], size << 6 | block, np.uint64)
-    for axis in range(spots.shape[-1]):
-        code = (code ^ (spots[..., axis].astype(np.int64) & 0xFFFF).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        code ^= code >> np.uint64(29)
-    return code.astype(np.int64)
+def block_dims(size: int, blocks: int) -> list[np.ndarray]:
+    """The dimensions of each block; a block of d of D dimensions has d / D of the squared-distance budget."""
+    return np.array_split(np.arange(size), min(blocks, size))
+
 
+def _rotated(vectors: np.ndarray) -> np.ndarray:
+    return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ rotation(vectors.shape[1])
 
-def subspaces(classes: DataFrame, limit: float, blocks: int, axes: int) -> DataFrame:
-    """(node, block, part, budget, cells) for each vector and block of its rotated unit vector.
 
-    Of two unit vectors at most sqrt(``limit``) apart, some block of d of D dimensions is at most
-    sqrt(limit * d / D) apart. A grid of that width over the first ``axes`` dimensions of the block puts such
-    a pair into the same or neighbouring cells. ``cells`` names the vector's own cell first, then half of the
-    neighbours, so that each pair of cells meets once.
+def placed(classes: DataFrame, limit: float, blocks: int) -> DataFrame:
+    """(node, n, vector, block, cells) for each vector and block of its rotated unit vector.
+
+    Of two unit vectors at most sqrt(``limit``) apart, some block is within its share of the budget. A
+    grid as wide as that over the block's first two dimensions puts such a pair into the same or
+    neighbouring cells. ``cells`` numbers the vector's own cell first, then half of its neighbours, so
+    that any two cells meet once. The number holds length, block and both coordinates.
     """
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, column = batch.column(0).to_numpy(), batch.column(1)
-            sizes = np.diff(column.offsets.to_numpy())
-            values = column.flatten().to_numpy().astype(np.float64)
+            column = batch.column(2)
+            sizes, values = np.diff(column.offsets.to_numpy()), column.flatten().to_numpy().astype(np.float64)
             starts = np.cumsum(sizes) - sizes
             for size in np.unique(sizes).tolist():
                 rows = np.nonzero(sizes == size)[0]
-                whole = values[starts[rows][:, None] + np.arange(size)]
-                whole = (whole / np.linalg.norm(whole, axis=1, keepdims=True)) @ rotation(size)
-                for block, dims in enumerate(np.array_split(np.arange(size), min(blocks, size))):
-                    part, budget = np.ascontiguousarray(whole[:, dims]), limit * len(dims) / size + SLACK
-                    spots = np.floor(part[:, :axes] / np.sqrt(budget))
+                turned = _rotated(values[starts[rows][:, None] + np.arange(size)])
+                taken = batch.take(pa.array(rows))
+                for block, dims in enumerate(block_dims(size, blocks)):
+                    width = np.sqrt(limit * len(dims) / size + SLACK)
+                    spots = np.floor(turned[:, dims[:2]] / width).astype(np.int64)
                     steps = [s for s in product((-1, 0, 1), repeat=spots.shape[1]) if s >= (0,) * spots.shape[1]]
-                    cells = _cells(spots[:, None, :] + np.array(steps), block, size)
+                    near = (spots[:, None, :] + np.array(steps)) & 0xFFFFF
+                    cells = np.full(near.shape[:2], (size & 0xFFFF) << 8 | block, np.int64)
+                    for axis in range(near.shape[2]):
+                        cells = cells << 20 | near[:, :, axis]
                     ends = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(nodes[rows]), pa.array([p.tobytes() for p in part], pa.binary()),
-                         pa.array(np.full(len(rows), budget)), pa.ListArray.from_arrays(pa.array(ends), pa.array(cells.ravel()))],
-                        names=["node", "part", "budget", "cells"])
+                        [*taken.columns, pa.array(np.full(len(rows), block, np.int32)),
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(cells.ravel()))],
+                        names=["node", "n", "vector", "block", "cells"])
+
+    rows = classes.select("node", "n", "vector")
+    kind = rows.schema["vector"].dataType.simpleString()
+    return rows.mapInArrow(place, f"node bigint, n bigint, vector {kind}, block int, cells array<bigint>")
 
-    return classes.select("node", "vector").mapInArrow(cut, "node bigint, part binary, budget double, cells array<bigint>")
 
+def _join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Gives linked places, and all that share a label with them, the smallest label among them."""
+    while True:
+        low = np.minimum(label[a], label[b])
+        if (label[a] == low).all() and (label[b] == low).all():
+            return
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while (label[label] != label).any():
+            label[:] = label[label]
 
-def candidates(classes: DataFrame, limit: float, blocks: int, axes: int) -> DataFrame:
-    """Pairs (a, b) of nodes, a < b, that some block's range join finds.
+
+def compare_cell(home: np.ndarray, look: np.ndarray, block: int, blocks: int, limit: float, threshold: float, allowed):
+    """Yields (i, j) of the linked pairs that this block has to answer for.
+
+    Candidates are within the block's budget, found in single precision with room for rounding. A pair
+    belongs to the first block whose budget holds it; those of earlier blocks are left out, so
+    each pair comes once from all blocks. What remains is verified by its cosine in double precision.
+    """
+    dims, size = block_dims(home.shape[1], blocks), home.shape[1]
+    budgets = [limit * len(d) / size + SLACK / 2 for d in dims]
+    y, z = _rotated(home), _rotated(look)
+    length, reach = np.linalg.norm(home, axis=1), np.linalg.norm(look, axis=1)
+    part, other = y[:, dims[block]].astype(np.float32), z[:, dims[block]].astype(np.float32)
+    one = lambda x: np.ones((len(x), 1), np.float32)
+    square = lambda x: (x * x).sum(axis=1, keepdims=True)
+    left, right = np.hstack([-2 * part, square(part), one(part)]), np.hstack([other, one(other), square(other)]).T
+    for first in range(0, len(home), TILE):
+        rows, columns = np.nonzero(left[first:first + TILE] @ right <= budgets[block] + ROUGH)
+        for at in range(0, len(rows), PAIRS):
+            i, j = rows[at:at + PAIRS] + first, columns[at:at + PAIRS]
+            mine = allowed(i, j)
+            i, j = i[mine], j[mine]
+            for number in range(block + 1):
+                apart = ((y[i][:, dims[number]] - z[j][:, dims[number]]) ** 2).sum(axis=1)
+                fits = apart <= budgets[number] if number == block else apart > budgets[number]
+                i, j = i[fits], j[fits]
+            cosine = np.einsum("ij,ij->i", home[i], look[j]) / (length[i] * reach[j])
+            yield i[cosine >= threshold], j[cosine >= threshold]
+
+
+def linked(classes: DataFrame, threshold: float, blocks: int) -> DataFrame:
+    """What the cells' tasks found, never pair by pair: rows (a, null, others) say that ``others`` rows link with node a
+    by the pairs of one task, rows (a, b, null) that a and b are connected.
 
     A cell with very many vectors is cut into sides, at home and looking in, and every two sides
     meet in a task of their own: tasks stay bounded and no pair is lost.
     """
-    parts = written(subspaces(classes, limit, blocks, axes), "subspaces")
-    placed = parts.select("node", "part", "budget", F.posexplode("cells").alias("step", "cell"))
+    limit = 2 * (1 - threshold)
+    parts = written(placed(classes, limit, blocks), "placed")
     counted = parts.select(F.posexplode("cells").alias("step", "cell")).groupBy("cell").agg(
         F.count(F.when(F.col("step") == 0, 1)).alias("home"), F.count(F.lit(1)).alias("all"))
     full = counted.select("cell", F.greatest(F.lit(1), F.ceil(F.col("home") / HOME)).alias("homes"),
                           F.ceil(F.col("all") / LOOK_IN).alias("looks")).filter("homes > 1 or looks > 1")
-    empty = counted.filter("home = 0 or all = 1").select("cell")
-    split = placed.join(written(empty, "empty"), "cell", "left_anti").join(written(full, "full"), "cell", "left").fillna(
+    idle = counted.filter("home = 0 or all = 1").select("cell")  # nobody at home, or nobody else there
+    rows = parts.select("node", "n", "vector", "block", F.posexplode("cells").alias("step", "cell"))
+    split = rows.join(written(idle, "idle"), "cell", "left_anti").join(written(full, "full"), "cell", "left").fillna(
         1, ["homes", "looks"])
     salt = F.xxhash64("node")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    at_home = split.filter("step = 0").withColumns({"h": F.pmod(salt, F.col("homes"))}).withColumn("l", every("looks"))
-    look_in = split.withColumns({"l": F.pmod(salt, F.col("looks"))}).withColumn("h", every("homes"))
-    columns = ["cell", "h", "l", "node", "part", "budget"]
-    rows = at_home.select(*columns, F.lit(-1).alias("step")).unionByName(look_in.select(*columns, "step"))
-
-    def near(group: pd.DataFrame) -> pd.DataFrame:
-        steps, nodes, budget = group["step"].to_numpy(), group["node"].to_numpy(), group["budget"].iat[0]
-        width = len(group["part"].iat[0])
-        alike = (group["part"].str.len() == width).to_numpy()  # two cells may share a number
-        points = np.frombuffer(b"".join(group["part"][alike]), np.float64).reshape(-1, width // 8)
-        steps, nodes = steps[alike], nodes[alike]
-        home, look = steps < 0, steps >= 0
-        left, right, own = points[home], points[look], steps[look] == 0
-        ids, others, found = nodes[home], nodes[look], []
-        square = (right * right).sum(axis=1)
-        for first in range(0, len(left), 256):
-            some = left[first:first + 256]
-            apart = (some * some).sum(axis=1)[:, None] + square - 2 * (some @ right.T)
-            i, j = np.nonzero(apart <= budget + SLACK)
-            a, b = ids[first + i], others[j]
-            keep = (a < b) | ~own[j] & (a != b)
-            found.append(np.stack([np.minimum(a, b)[keep], np.maximum(a, b)[keep]], axis=1))
-        pairs = np.concatenate([*found, np.empty((0, 2), np.int64)]).astype(np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    dealt = rows.repartition("cell", "h", "l").groupBy("cell", "h", "l")
-    return dealt.applyInPandas(near, "a bigint, b bigint").distinct()
-
-
-def verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose cosine, in double precision, reaches ``threshold``."""
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u, v = (batch.column(k).flatten().to_numpy().astype(np.float64) for k in (2, 3))
-            ends = np.diff(batch.column(2).offsets.to_numpy())
-            starts = np.cumsum(ends) - ends
-            if not len(ends):
-                continue
-            dot, uu, vv = (np.add.reduceat(x, starts) for x in (u * v, u * u, v * v))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
-                pa.array(dot / (np.sqrt(uu) * np.sqrt(vv)) >= threshold))
-
-    vectors = classes.select("node", "vector")
-    both = (pairs.join(vectors.withColumnsRenamed({"node": "a", "vector": "u"}), "a")
-            .join(vectors.withColumnsRenamed({"node": "b", "vector": "v"}), "b")
-            .filter(F.size("u") == F.size("v")).select("a", "b", "u", "v"))
-    return both.mapInArrow(exact, "a bigint, b bigint")
+    at_home = split.filter("step = 0").withColumn("h", F.pmod(salt, F.col("homes"))).withColumn("l", every("looks"))
+    look_in = split.withColumn("l", F.pmod(salt, F.col("looks"))).withColumn("h", every("homes"))
+    columns = ["cell", "h", "l", "node", "n", "vector", "block"]
+    met = at_home.select(*columns, F.lit(-1).alias("step")).unionByName(look_in.select(*columns, "step"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        steps, nodes, sizes = group["step"].to_numpy(), group["node"].to_numpy(), group["n"].to_numpy()
+        vectors = np.stack(group["vector"].to_numpy()).astype(np.float64)
+        at, look = np.nonzero(steps < 0)[0], np.nonzero(steps >= 0)[0]
+        own, known = steps[look] == 0, np.unique(nodes)
+        place = np.searchsorted(known, nodes)
+        label, others = np.arange(len(known)), np.zeros(len(known), np.int64)
+
+        def allowed(i, j):
+            a, b = nodes[at[i]], nodes[look[j]]
+            return (a != b) & ((a < b) | ~own[j])  # two at home in the same cell meet twice
+
+        if len(at) and len(look):
+            for i, j in compare_cell(vectors[at], vectors[look], int(group["block"].iat[0]), blocks, limit, threshold, allowed):
+                a, b = place[at[i]], place[look[j]]
+                np.add.at(others, a, sizes[look[j]])
+                np.add.at(others, b, sizes[at[i]])
+                _join_labels(label, a, b)
+        some, moved = np.nonzero(others)[0], np.nonzero(label != np.arange(len(known)))[0]
+        return pd.DataFrame({
+            "a": np.concatenate([known[some], known[moved]]),
+            "b": pd.array([*[None] * len(some), *known[label[moved]].tolist()], "Int64"),
+            "others": pd.array([*others[some].tolist(), *[None] * len(moved)], "Int64")})
+
+    dealt = met.repartition("cell", "h", "l").groupBy("cell", "h", "l")
+    return dealt.applyInPandas(compare, "a bigint, b bigint, others bigint")
 
 
 def link_vectors(vectors: DataFrame, threshold: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding",
-                 blocks: int = 8, axes: int = 3) -> DataFrame:
+                 blocks: int = 4) -> DataFrame:
     """(id, n_links, component_id, kept) for every row: the rows within ``threshold`` by cosine, and the smallest id reachable.
 
     Vectors are taken as they are, whatever other columns say. Null, empty and zero vectors, those with null or
@@ -151,14 +185,13 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.95, id_column: str = "
     keyed = written(with_groups(rows.select("id", "digest"), "digest", F.min), "keyed")
     classes = written(rows.groupBy("digest").agg(F.first("vector").alias("vector"), F.min("id").alias("first"),
                                                  F.count(F.lit(1)).alias("n")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    links = written(verified(candidates(classes, 2 * (1 - threshold), blocks, axes), classes, threshold), "links")
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = classes.select("node", "n")
-    counts = ends.join(sizes.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    found = written(linked(classes, threshold, blocks), "found")
+    counts = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("others"))
+    links = found.filter("b is not null").select("a", "b")
     whole = classes.select("node", "digest", "first", "n").join(counts, "node", "left").join(components(links), "node", "left")
     whole = whole.withColumn("component", F.coalesce("component", "node"))
     named = whole.join(whole.groupBy("component").agg(F.min("first").alias("component_id")), "component")
     facts = written(named.select("digest", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"), "facts")
-    linked = keyed.select("id", "digest").join(facts, "digest").select("id", "n_links", "component_id")
+    known = keyed.select("id", "digest").join(facts, "digest").select("id", "n_links", "component_id")
     lone = marked.filter("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.unionByName(lone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    return known.unionByName(lone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))

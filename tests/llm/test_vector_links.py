@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tapekeeper.llm import vector_links
 from tapekeeper.llm.queries import op7_vector_links
@@ -45,7 +46,7 @@ def test_clusters_against_brute_force(spark):
     assert found(spark, rows) == sorted(brute(rows), key=str)
 
 
-@pytest.mark.parametrize("options", [dict(blocks=4, axes=2), dict(blocks=16, axes=1), dict(blocks=100, axes=3)])
+@pytest.mark.parametrize("options", [dict(blocks=1), dict(blocks=8), dict(blocks=16), dict(blocks=100)])
 def test_other_blocks_find_the_same(spark, options):
     rows = clustered(2, 150)
     assert found(spark, rows, **options) == sorted(brute(rows), key=str)
@@ -58,6 +59,19 @@ def test_sides_of_a_full_cell(spark, monkeypatch):
     assert found(spark, rows) == sorted(brute(rows), key=str)
 
 
+def test_a_large_group_of_near_copies_is_counted_without_its_pairs(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=64)
+    rows = [(i, (base + 0.02 * rng.normal(size=64)).astype(np.float32).tolist()) for i in range(1500)]
+    rows += [(2000 + i, rng.normal(size=64).astype(np.float32).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = {r.id: r for r in vector_links.link_vectors(df, 0.95).collect()}
+    assert all(out[i].n_links == 1499 and out[i].component_id == 0 for i in range(1500))
+    assert all(out[i].n_links == 0 for i in range(2000, 2300))
+    classes = df.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("n"), F.col("embedding").alias("vector"))
+    assert vector_links.linked(classes, 0.95, 4).count() < 4 * 1500 * 4
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 0.0]),
