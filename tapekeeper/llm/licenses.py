@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tapekeeper.llm.shared import SALTS, plain, text_of
+from tapekeeper.llm.shared import SALTS, plain, text_of, written
 
 # Notices by which the licences are known.
 TEMPLATES = [
@@ -78,7 +78,7 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
     """(file, license, score) of rows (file, text, whole): the best template that some line, or the ``whole`` file, reaches.
 
     Equal scores go to the first licence by name. Each line is split into terms, but only lines whose
-    template terms allow the least cosine go on to be counted, so what is shuffled is little.
+    template terms allow the least cosine go on to be counted and written, so texts are read once and little is shuffled.
     """
     terms, other, weighted, weights = _tables(files.sparkSession, templates)
     vocabulary = F.array(*[F.lit(term) for term in sorted({t for of in weights for t in of})])
@@ -89,7 +89,7 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
     near = lines.withColumn("shared", F.array_intersect("terms", vocabulary)).filter(
         F.size("shared") > 0).filter(_may_reach(F.col("shared"), weights, least))
     words = near.select("file", "unit", F.explode("terms").alias("term"))
-    counted = words.groupBy("file", "unit", "term").agg(F.count(F.lit(1)).alias("n"))
+    counted = written(words.groupBy("file", "unit", "term").agg(F.count(F.lit(1)).alias("n")), "terms")
     valued = counted.join(terms, "term", "left").select(
         "file", "unit", "term", (F.col("n") * F.coalesce("idf", F.lit(other))).alias("value"))
     lengths = valued.groupBy("file", "unit").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length"))
