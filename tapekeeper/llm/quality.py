@@ -26,15 +26,16 @@ class Linear(NamedTuple):
 def ngrams():
     """A function from a text to its hashed words and word pairs: (places, log counts scaled to length 1).
 
-    Words keep their case; runs of signs are words too. A word right after itself makes one shared
-    pair, so repetition counts whatever is repeated.
+    Words keep their case; runs of signs are words too. A word right after itself, or with one other
+    between, makes one shared pair, so repetition counts whatever is repeated.
     """
     hashes = WordHashes()
 
     def of(text: str) -> tuple[np.ndarray, np.ndarray]:
         codes = np.array(list(map(hashes.__getitem__, TOKEN.findall(text))), np.uint64)
         pairs = np.where(codes[1:] == codes[:-1], AGAIN, (codes[:-1] * LEFT) ^ (codes[1:] * RIGHT))
-        mixed = np.concatenate([codes * RIGHT, pairs * LEFT]) >> np.uint64(44)
+        skipped = np.full(np.count_nonzero((codes[2:] == codes[:-2]) & (codes[1:-1] != codes[2:])), AGAIN)
+        mixed = np.concatenate([codes * RIGHT, pairs * LEFT, skipped * RIGHT]) >> np.uint64(44)
         places, counts = np.unique(mixed, return_counts=True)
         values = np.log1p(counts)
         return places, values / max(np.sqrt((values * values).sum()), 1e-12)
@@ -42,7 +43,7 @@ def ngrams():
     return of
 
 
-def fit_ftrl(rows: list[Example], alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1,
+def fit_ftrl(rows: list[Example], alpha: float = 1.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1,
              passes: int = 5, seed: int = 1) -> Linear:
     """Follow-the-proximal-leader, a row at a time with per-place rates; labels 0 and 1.
 
