@@ -75,7 +75,7 @@ def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **filter_options) -> DataFrame:
     """The rows of ``docs`` that ``mark_copies`` keeps, all columns; of rows that tie for a group's largest id, one.
 
-    Rows whose hash cannot repeat go from the scan to the result without a shuffle.
+    Rows whose hash cannot repeat go from the scan to the result without a shuffle; the others are written once.
     """
     text = ascii_lower(text_of(text_column))
     rows = docs.select(F.struct(*[plain(c) for c in docs.columns]).alias("row"), plain(id_column).alias("id"),
@@ -83,6 +83,6 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     may_repeat = repeat_test(rows.select("h"), "h", **filter_options)
     flagged = rows.withColumn("maybe", may_repeat("h"))
     single = flagged.filter("not maybe").select("row.*")
-    maybe = flagged.filter("maybe").select("row", "id", F.sha2("low", 256).alias("digest"))
+    maybe = written(flagged.filter("maybe").select("row", "id", F.sha2("low", 256).alias("digest")), "maybe")
     survivors = with_groups(maybe, "digest", F.max).filter(F.col("id").eqNullSafe(F.col("chosen")))
     return single.unionByName(survivors.dropDuplicates(["digest"]).select("row.*"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapekeeper.llm import chat, exact_dedup, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
 from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
@@ -111,9 +111,7 @@ def language_model(docs: DataFrame) -> langid.Languages:
     """Fitted on at most 1,000 texts of each language, none of them of the held-out part."""
     known = docs.filter("lang is not null and doc_id is not null").filter(
         split_of(plain("doc_id"), LANGUAGE_PARTS) != LANGUAGE_HELD).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    sample = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= SAMPLE_PER_LANGUAGE).drop("nth")
-    return langid.fit_languages(examples(docs, sample, langid.subwords))
+    return langid.fit_languages(examples(docs, sample_rows(known, "id", SAMPLE_PER_LANGUAGE, "label"), langid.subwords))
 
 
 @query

@@ -8,7 +8,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -84,9 +84,22 @@ def split_of(id_column: Column, parts: int) -> Column:
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(parts))
 
 
-def sample_rows(rows: DataFrame, id_name: str, limit: int) -> DataFrame:
-    """At most ``limit`` rows in the order of a hash of their id: the documented bound of a training sample."""
-    return rows.orderBy(F.xxhash64(plain(id_name)), plain(id_name)).limit(limit)
+def sample_rows(rows: DataFrame, id_name: str, limit: int, by: str | None = None) -> DataFrame:
+    """At most ``limit`` rows, or so many for each value of ``by``, in the order of a hash of their id.
+
+    The documented bound of a training sample. Groups are counted first, and only rows whose hash
+    lies in a share four times as large as needed are ranked: however large a group, its ranking
+    sees some four times ``limit`` rows.
+    """
+    group = F.lit(0) if by is None else plain(by)
+    rows = rows.withColumn("group_", group)
+    sizes = written(rows.groupBy("group_").agg(F.count(F.lit(1)).alias("size_")), "sizes")
+    place = F.xxhash64(plain(id_name))
+    share = F.pmod(place, F.lit(1 << 31)) / F.lit(float(1 << 31))
+    near = rows.join(sizes, rows["group_"].eqNullSafe(sizes["group_"])).select(rows["*"], "size_").filter(
+        share < F.lit(4.0 * limit) / F.col("size_"))
+    order = Window.partitionBy("group_").orderBy(share, plain(id_name))
+    return near.withColumn("nth_", F.row_number().over(order)).filter(F.col("nth_") <= limit).drop("nth_", "group_", "size_")
 
 
 class WordHashes(dict):
