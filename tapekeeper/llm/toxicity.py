@@ -67,7 +67,7 @@ def telling_places(rows: list[Example], positive: np.ndarray, least_rows: int =
     return chosen, z[chosen]
 
 
-def fit_severity(rows: list[Example], places: np.ndarray, grades: np.ndarray, penalty: float = 1e-3,
+def fit_severity(rows: list[Example], places: np.ndarray, grades: np.ndarray, penalty: float = 1e-4,
                  steps: int = 400, rate: float = 0.1) -> Severity:
     """Maximises the penalised likelihood of ordered grades 0, 1, ... by Adam over all rows.
 
