@@ -84,10 +84,12 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
     vocabulary = F.array(*[F.lit(term) for term in sorted({t for of in weights for t in of})])
     low = F.lower("text")
     units = F.concat(F.split(low, "\n"), F.when(F.col("whole"), F.array(low)).otherwise(F.array().cast("array<string>")))
-    lines = files.select("file", F.posexplode(units).alias("unit", "line")).select(
-        "file", "unit", F.regexp_extract_all("line", F.lit(f"({TERM})"), F.lit(1)).alias("terms"))
-    near = lines.withColumn("shared", F.array_intersect("terms", vocabulary)).filter(
-        F.size("shared") > 0).filter(_may_reach(F.col("shared"), weights, least))
+    lines = files.select("file", F.posexplode(units).alias("unit", "line"))
+    # Exploding a list of one makes it a value: the tests below would else split the line again each.
+    once = lambda value: F.explode(F.array(value))
+    split = lines.select("file", "unit", once(F.regexp_extract_all("line", F.lit(f"({TERM})"), F.lit(1))).alias("terms"))
+    shared = split.select("*", once(F.array_intersect("terms", vocabulary)).alias("shared"))
+    near = shared.filter(F.size("shared") > 0).filter(_may_reach(F.col("shared"), weights, least))
     words = near.select("file", "unit", F.explode("terms").alias("term"))
     counted = written(words.groupBy("file", "unit", "term").agg(F.count(F.lit(1)).alias("n")), "terms")
     valued = counted.join(terms, "term", "left").select(
