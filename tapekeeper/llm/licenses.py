@@ -54,16 +54,21 @@ def template_weights(templates=TEMPLATES) -> tuple[dict[str, float], float, list
     return idf, math.log(1 + len(counts)) + 1, weights
 
 
-def _may_reach(shared: Column, weights: list[dict[str, float]], least: float) -> Column:
-    """Whether the template terms that a text holds allow a cosine of ``least`` to some template.
+def _square_of(terms: Column, values: dict[str, float]) -> Column:
+    """Sum of the values of terms."""
+    table = F.map_from_arrays(F.array(*[F.lit(t) for t in values]), F.array(*[F.lit(v) for v in values.values()]))
+    return F.aggregate(terms, F.lit(0.0), lambda run, t: run + F.coalesce(F.try_element_at(table, t), F.lit(0.0)))
 
-    By Cauchy-Schwarz no cosine exceeds the length of the template's unit vector over the shared terms.
+
+def _may_reach(shared: Column, share: Column, weights: list[dict[str, float]], least: float) -> Column:
+    """Whether a text whose template terms are ``shared`` may reach a cosine of ``least`` with some template.
+
+    By Cauchy-Schwarz no cosine's square exceeds the ``share`` that those terms have of the text's squared
+    length, times the share that they have of the template's.
     """
     reached = F.lit(False)
     for of in weights:
-        squares = F.map_from_arrays(F.array(*[F.lit(t) for t in of]), F.array(*[F.lit(w * w) for w in of.values()]))
-        total = F.aggregate(shared, F.lit(0.0), lambda run, t: run + F.coalesce(F.try_element_at(squares, t), F.lit(0.0)))
-        reached = reached | (total >= least * least - 1e-9)
+        reached = reached | (_square_of(shared, {t: w * w for t, w in of.items()}) * share >= least * least - 1e-9)
     return reached
 
 
@@ -71,7 +76,7 @@ def _tables(spark: SparkSession, templates):
     idf, other, weights = template_weights(templates)
     terms = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
     rows = [(term, k, templates[k][0], w) for k, of in enumerate(weights) for term, w in sorted(of.items())]
-    return terms, other, spark.createDataFrame(rows, "term string, template int, license string, weight double"), weights
+    return terms, other, spark.createDataFrame(rows, "term string, template int, license string, weight double"), weights, idf
 
 
 def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
@@ -80,7 +85,7 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
     Equal scores go to the first licence by name. Each line is split into terms, but only lines whose
     template terms allow the least cosine go on to be counted and written, so texts are read once and little is shuffled.
     """
-    terms, other, weighted, weights = _tables(files.sparkSession, templates)
+    terms, other, weighted, weights, idf = _tables(files.sparkSession, templates)
     vocabulary = F.array(*[F.lit(term) for term in sorted({t for of in weights for t in of})])
     low = F.lower("text")
     units = F.concat(F.split(low, "\n"), F.when(F.col("whole"), F.array(low)).otherwise(F.array().cast("array<string>")))
@@ -89,7 +94,15 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
     once = lambda value: F.explode(F.array(value))
     split = lines.select("file", "unit", once(F.regexp_extract_all("line", F.lit(f"({TERM})"), F.lit(1))).alias("terms"))
     shared = split.select("*", once(F.array_intersect("terms", vocabulary)).alias("shared"))
-    near = shared.filter(F.size("shared") > 0).filter(_may_reach(F.col("shared"), weights, least))
+    near = shared.filter(F.size("shared") > 0).filter(_may_reach(F.col("shared"), F.lit(1.0), weights, least))
+    # The rest of the line is at least as long as if no term of it came twice.
+    times = F.transform("shared", lambda t: F.struct(t.alias("t"), F.size(F.filter("terms", lambda x: x == t)).alias("n")))
+    counts = near.select("*", once(times).alias("times"))
+    held = F.aggregate("times", F.lit(0.0), lambda run, x: run + x["n"] * x["n"] * _square_of(
+        F.array(x["t"]), {t: v * v for t, v in idf.items()}))
+    rest = F.size("terms") - F.aggregate("times", F.lit(0), lambda run, x: run + x["n"])
+    share = counts.select("*", once(held / (held + rest * other * other)).alias("share"))
+    near = share.filter(_may_reach(F.col("shared"), F.col("share"), weights, least))
     words = near.select("file", "unit", F.explode("terms").alias("term"))
     counted = written(words.groupBy("file", "unit", "term").agg(F.count(F.lit(1)).alias("n")), "terms")
     valued = counted.join(terms, "term", "left").select(
