@@ -72,16 +72,16 @@ class Pieces:
         self.char_symbol = np.full(0x110000, -1, np.int32)
         for name, k in symbols.items():
             if len(name) == 1 and name in self.ids:
-                self.char_symbol[ord(name)] = k
+                self.char_symbol[ord(" " if name == SPACE else name)] = k
         self.known: dict[str, bytes] = {}
-        self.chunks = re.compile(f"{SPACE}+[^{SPACE}{BREAK}]*|[^{SPACE}{BREAK}]+|{BREAK}")
+        self.chunks = re.compile(f" +[^ {BREAK}]*|[^ {BREAK}]+|{BREAK}")
         self.before_break = len(model.encode(BREAK))
 
     # --- one chunk ------------------------------------------------------------------------------
 
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk: the pair of the best score, the leftmost of equals, is joined until none is left."""
-        parts, rank = list(chunk), self.rank
+        parts, rank = list(chunk.replace(" ", SPACE)), self.rank
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         agenda = []
 
@@ -175,9 +175,7 @@ class Pieces:
 
     def verify(self, chunks: list[str]) -> None:
         """Raises if the library splits a chunk otherwise. After a break a chunk is encoded as inside a text."""
-        texts = (BREAK + "\0".join(chunks).replace(SPACE, " ").replace("\0", "\0" + BREAK)).split("\0")
-        if len(texts) != len(chunks):  # some chunk holds the separator
-            texts = [BREAK + chunk.replace(SPACE, " ") for chunk in chunks]
+        texts = [BREAK + chunk for chunk in chunks]
         found, skip = self.library.encode(texts, num_threads=1), self.before_break
         own = [self.known[chunk] for chunk in chunks]
         flat = np.fromiter(chain.from_iterable(ids[skip:] for ids in found), "<i4")
@@ -193,7 +191,8 @@ class Pieces:
 
     def encode(self, texts: list[str], check: bool = True) -> list[bytes]:
         """Ids of whole texts, each as little-endian 32-bit numbers."""
-        split = [self.chunks.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        # The mark itself counts as a space. Chunks keep plain spaces, which makes them small strings.
+        split = [self.chunks.findall(" " + text.replace(SPACE, " ")) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
             self.forget()
         found = [list(map(self.known.get, chunks)) for chunks in split]
