@@ -80,5 +80,18 @@ granted AS (
 SELECT l.doc_id, l.path, l.own_license, l.own_score, coalesce(f.own_license, p.own_license) AS inherited_license,
        coalesce(f.dir, p.dir) AS inherited_from, coalesce(l.own_license, f.own_license, p.own_license) AS license
 FROM listed l LEFT JOIN granted f ON f.dir = l.dir LEFT JOIN granted p ON p.dir = l.package AND p.dir <> l.dir
+""",
+    "op7_vector_links": """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT vec_id, b FROM reach JOIN links ON r = a),
+least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM least
 """,
 }
