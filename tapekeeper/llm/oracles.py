@@ -84,7 +84,7 @@ FROM listed l LEFT JOIN granted f ON f.dir = l.dir LEFT JOIN granted p ON p.dir
     "op7_vector_links": """
 WITH RECURSIVE sound AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
 links AS (
   SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
