@@ -48,7 +48,7 @@ buckets AS (
 
 def rolling(n):
     frame = f"OVER (PARTITION BY symbol ORDER BY time ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
-    return f"round(avg(price) {frame}, 8)"
+    return f"round(avg(price) {frame} + 1e-11, 8)"
 
 
 def lost_of(table, where="TRUE"):
@@ -235,8 +235,8 @@ ORACLES = {
         "SELECT time, symbol, price, " + ", ".join(f"{rolling(n)} AS ma_{n}" for n in (15, 60, 240, 720, 1440))
         + " FROM buckets", minutes("minute")),
     "latency_stats": sql("""
-        SELECT count(*) AS events, round(quantile_cont(lat, 0.5), 8) AS p50_ms, round(quantile_cont(lat, 0.95), 8) AS p95_ms,
-               round(quantile_cont(lat, 0.99), 8) AS p99_ms, max(lat) AS max_ms
+        SELECT count(*) AS events, round(quantile_cont(lat, 0.5) + 1e-11, 8) AS p50_ms, round(quantile_cont(lat, 0.95) + 1e-11, 8) AS p95_ms,
+               round(quantile_cont(lat, 0.99) + 1e-11, 8) AS p99_ms, max(lat) AS max_ms
         FROM (SELECT epoch_ms(ingested_at) - epoch_ms(trade_time) AS lat FROM trades
               WHERE ingested_at > TIMESTAMP '2023-12-31 00:00:00')"""),
     "latency_display": sql("""
