@@ -46,17 +46,23 @@ def text_fingerprint(text: str, words: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, fingerprint) per row, the fingerprint as a signed 64-bit number; null text is empty text."""
+def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text_column: str = "text",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fingerprint) per row, the fingerprint as a signed 64-bit number; null text is empty text.
+
+    ``keep`` names columns of ``docs`` to hand through, in a struct ``row``.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [text_fingerprint(text.as_py(), words) for text in batch.column(1)]
             signed = np.array(values, np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["key", "fingerprint"])
 
-    rows = docs.select(plain(id_column).alias("id"), text_of(text_column).alias("text"))
-    return rows.mapInArrow(hashed, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint bigint")
+    carried = [plain(id_column).alias("id"), *([F.struct(*[plain(c) for c in keep]).alias("row")] if keep else [])]
+    rows = docs.select(F.struct(*carried).alias("key"), text_of(text_column).alias("text"))
+    marked = rows.mapInArrow(hashed, f"key {rows.schema['key'].dataType.simpleString()}, fingerprint bigint")
+    return marked.select("key.id", "fingerprint", *(["key.row"] if keep else []))
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:
@@ -143,6 +149,13 @@ def fingerprint_links(distinct: DataFrame, radius: int) -> DataFrame:
     return pairs.unionByName(compared)
 
 
+def _with_components(classes: DataFrame, radius: int) -> DataFrame:
+    """Rows of ``classes``, one per fingerprint, with the ``component`` of linked fingerprints they are in."""
+    joined = written(fingerprint_links(classes.select("fingerprint"), radius), "near")
+    member = components(joined).withColumnRenamed("node", "fingerprint")
+    return classes.join(member, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+
+
 def group_near_copies(docs: DataFrame, words: int, radius: int, id_column: str = "doc_id",
                       text_column: str = "text") -> DataFrame:
     """(id, fingerprint, component_id) per row: fingerprints as numbers, component_id the smallest id reachable by links.
@@ -152,11 +165,7 @@ def group_near_copies(docs: DataFrame, words: int, radius: int, id_column: str =
     link like any other. Null ids are ignored when the smallest is sought.
     """
     marked = written(fingerprints(docs, words, id_column, text_column), "fingerprints")
-    classes = written(marked.groupBy("fingerprint").agg(F.min("id").alias("first")), "classes")
-    joined = written(fingerprint_links(classes.select("fingerprint"), radius), "near")
-    member = components(joined)
-    whole = classes.join(member.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("component"))
+    whole = _with_components(written(marked.groupBy("fingerprint").agg(F.min("id").alias("first")), "classes"), radius)
     named = whole.join(whole.groupBy("component").agg(F.min("first").alias("component_id")), "component").select(
         "fingerprint", "component_id")
     return marked.join(written(named, "named"), "fingerprint").select("id", "fingerprint", "component_id")
@@ -164,8 +173,18 @@ def group_near_copies(docs: DataFrame, words: int, radius: int, id_column: str =
 
 def drop_near_copies(docs: DataFrame, words: int, radius: int, id_column: str = "doc_id",
                      text_column: str = "text") -> DataFrame:
-    """One row of each group, the one with the smallest id, all columns; of rows that tie for it, one."""
-    groups = group_near_copies(docs, words, radius, id_column, text_column)
-    losers = written(groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct(), "losers")
-    rows = docs.select(F.struct(*[plain(c) for c in docs.columns]).alias("row"), plain(id_column).alias("key"))
-    return rows.join(losers, rows["key"].eqNullSafe(losers["id"]), "left_anti").select("row.*")
+    """Exactly one row of each group, all columns: the one with the smallest id, a null id only if none has another.
+
+    Of rows that tie for it the one with the smallest fingerprint, then digest of all columns, is kept; rows
+    alike in all are interchangeable. Rows are numbered as they are written, and dropped by number:
+    ids may be null or repeat, in one group or in several.
+    """
+    digest = F.md5(F.to_json("row", {"ignoreNullFields": "false"}))
+    rows = written(fingerprints(docs, words, id_column, text_column, tuple(docs.columns)).withColumns(
+        {"digest": digest, "number": F.monotonically_increasing_id()}), "rows")
+    best = F.min(F.struct(F.isnull("id").alias("unnamed"), "id", "digest", "number")).alias("best")
+    whole = _with_components(written(rows.groupBy("fingerprint").agg(best), "classes"), radius)
+    order = F.struct("best.unnamed", "best.id", "fingerprint", "best.digest", "best.number")
+    winners = whole.groupBy("component").agg(F.min(order).alias("best")).select("best.number")
+    losers = written(rows.select("number").join(winners, "number", "left_anti"), "losers")
+    return rows.join(losers, "number", "left_anti").select("row.*")

@@ -94,3 +94,23 @@ def test_edge_rows(spark):
     kept = simhash.drop_near_copies(docs, 4, 4)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 5]
     assert simhash.group_near_copies(docs.limit(0), 4, 4).count() == 0
+
+
+def kept_rows(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(3)
+    return sorted((r.n for r in simhash.drop_near_copies(docs, 4, 4).collect()))
+
+
+def test_null_ids_lose_only_in_their_own_group(spark):
+    rows = [(1, "a b c d e", 0), (None, "a b c d e", 1), (None, "quite another text of words", 2),
+            (None, "the third text has no id", 3), (None, "the third text has no id", 3), (None, "", 4), (7, None, 5)]
+    assert kept_rows(spark, rows) == [0, 2, 3, 5]
+
+
+def test_a_repeated_id_wins_and_loses_by_group(spark):
+    rows = [(4, "a b c d e", 0), (9, "a b c d e", 1), (3, "quite another text of words", 2), (4, "quite another text of words", 3),
+            (4, "A B C D E", 4), (5, "the third text has one id", 6), (5, "the third text has one id", 6)]
+    for turned in (rows, rows[::-1]):
+        kept = kept_rows(spark, turned)
+        assert len(kept) == 3 and {2, 6} < set(kept) and {0, 4} & set(kept)
+    assert kept_rows(spark, rows) == kept_rows(spark, rows[::-1])
