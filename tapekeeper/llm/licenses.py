@@ -1,4 +1,4 @@
-"""Licence scans: TF-IDF cosine of lines and licence files to templates, and inheritance along directories."""
+"""Licence scans: TF-IDF cosine of lines, passages and licence files to templates, and inheritance along directories."""
 
 import math
 import re
@@ -79,11 +79,58 @@ def _tables(spark: SparkSession, templates):
     return terms, other, spark.createDataFrame(rows, "term string, template int, license string, weight double"), weights, idf
 
 
+def _passages(files: DataFrame, least: float, templates) -> DataFrame:
+    """(file, license, score) of passages: as many terms in a row as a template has, from any of its terms on.
+
+    Line ends, comment marks and what stands before or after on a line do not matter. A passage must hold all the
+    template's terms with a digit: other versions' notices differ in little else. A text is cut into overlapping
+    stretches, each holding every passage that starts in its first half; only stretches whose template
+    terms allow the least cosine are looked through, and a passage is scored in its row.
+    """
+    idf, other, weights = template_weights(templates)
+    lengths = [sum(_terms(text).values()) for _, text in templates]
+    reach = max(lengths)
+    literal = lambda values: F.map_from_arrays(
+        F.array(*[F.lit(t) for t in values]), F.array(*[F.lit(v) for v in values.values()]))
+    known = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(n).alias("length"), literal(of).alias("weights"),
+                               F.array(*[F.lit(t) for t in of if re.search("[0-9]", t)]).cast("array<string>").alias("needed"))
+                      for (name, _), n, of in zip(templates, lengths, weights)])
+    vocabulary = F.array(*[F.lit(term) for term in sorted(idf)])
+    once = lambda value: F.explode(F.array(value))
+    weight = lambda of, term: F.coalesce(F.try_element_at(of, term), F.lit(0.0))
+    mass = lambda terms, of: F.aggregate(terms, F.lit(0.0), lambda run, t: run + weight(of, t) * weight(of, t))
+    bound = least * least - 1e-9
+
+    texts = files.select("file", once(F.regexp_extract_all(F.lower("text"), F.lit(f"({TERM})"), F.lit(1))).alias("all"))
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(reach))
+    stretches = texts.filter(F.size("all") > 0).select("file", F.explode(
+        F.transform(starts, lambda at: F.slice("all", at + 1, F.lit(2 * reach)))).alias("terms"))
+    shared = stretches.select("*", once(F.array_intersect("terms", vocabulary)).alias("shared"))
+    near = shared.filter(F.size("shared") > 0).filter(_may_reach(F.col("shared"), F.lit(1.0), weights, least))
+    met = near.select("file", "terms", F.explode(F.filter(known, lambda t: mass(F.col("shared"), t["weights"]) >= bound)).alias("of"))
+    first = F.sequence(F.lit(0), F.least(F.size("terms"), F.lit(reach)) - 1)
+    first = F.filter(first, lambda at: weight(F.col("of.weights"), F.get("terms", at)) > 0)
+    passages = met.select("file", "of", F.explode(F.transform(first, lambda at: F.slice(
+        "terms", at + 1, F.col("of.length")))).alias("terms"))
+    passages = passages.select("*", once(F.array_distinct("terms")).alias("distinct"))
+    passages = passages.filter(F.size(F.array_except("of.needed", "distinct")) == 0).filter(
+        mass(F.col("distinct"), F.col("of.weights")) >= bound)
+    value = lambda t: F.size(F.filter("terms", lambda x: x == t)) * F.coalesce(
+        F.try_element_at(literal(idf), t), F.lit(other))
+    valued = passages.select("file", "of", once(F.transform("distinct", lambda t: F.struct(
+        t.alias("t"), value(t).alias("value")))).alias("terms"))
+    dot = F.aggregate("terms", F.lit(0.0), lambda run, x: run + x["value"] * weight(F.col("of.weights"), x["t"]))
+    length = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda run, x: run + x["value"] * x["value"]))
+    return valued.select("file", F.col("of.license").alias("license"), (dot / length).alias("score")).filter(
+        F.col("score") >= least)
+
+
 def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
-    """(file, license, score) of rows (file, text, whole): the best template that some line, or the ``whole`` file, reaches.
+    """(file, license, score) of rows (file, text, whole): the best template that some line, some passage
+    of a template's length, or the ``whole`` file, reaches.
 
-    Equal scores go to the first licence by name. Each line is split into terms, but only lines whose
-    template terms allow the least cosine go on to be counted and written, so texts are read once and little is shuffled.
+    Scores equal to nine places go to the first licence by name. Each line is split into terms, but only lines whose
+    template terms allow the least cosine go on to be counted and written, so little is shuffled; passages are scored in place.
     """
     terms, other, weighted, weights, idf = _tables(files.sparkSession, templates)
     vocabulary = F.array(*[F.lit(term) for term in sorted({t for of in weights for t in of})])
@@ -111,7 +158,8 @@ def match_templates(files: DataFrame, least: float = LEAST, templates=TEMPLATES)
     dots = valued.join(weighted, "term").groupBy("file", "unit", "template", "license").agg(
         F.sum(F.col("value") * F.col("weight")).alias("dot"))
     scored = dots.join(lengths, ["file", "unit"]).select("file", "license", (F.col("dot") / F.col("length")).alias("score"))
-    scored = scored.filter(F.col("score") >= least).groupBy("file", "license").agg(F.max("score").alias("score"))
+    scored = scored.filter(F.col("score") >= least).unionByName(_passages(files, least, templates))
+    scored = written(scored.groupBy("file", "license").agg(F.round(F.max("score"), 9).alias("score")), "scores")
     best = scored.groupBy("file").agg(F.max("score").alias("score"))
     return scored.join(best, ["file", "score"]).groupBy("file", "score").agg(F.min("license").alias("license")).select(
         "file", "license", "score")
@@ -121,7 +169,7 @@ def scan_licenses(files: DataFrame, id_column: str = "file_id", path_column: str
                   least: float = LEAST, templates=TEMPLATES) -> DataFrame:
     """(id, path, own_license, own_score, inherited_license, inherited_from, license) for every row.
 
-    Files are looked at line by line, files named like a licence also as a whole. A licence file's
+    Files are looked at line by line and passage by passage, files named like a licence also as a whole. A licence file's
     licence holds for its directory and all below, unless a nearer one does; of several in one
     directory the best score counts, then the first path. ``license`` is a file's own or else the inherited one.
     Runs of slashes count as one and a leading one not at all; null paths have no directory and

@@ -1,4 +1,5 @@
 import math
+import pathlib
 import re
 from collections import Counter
 
@@ -74,3 +75,34 @@ def test_empty_table_and_native_plan(spark):
     assert out.count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+GPL_HEADER = """#!/bin/sh
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+"""
+
+
+def test_wrapped_headers_and_notices_inside_lines(spark):
+    narrow = "\n".join(f" * {word}" for word in licenses.TEMPLATES[1][1].split())
+    inside = "The text below is by the author. Released under the MIT License. Please read on for what it says of ships."
+    far = "word " * 5000
+    files = [("a.sh", GPL_HEADER), ("b.c", narrow), ("c.txt", inside), ("d.txt", far + inside + far), ("e.sh", far + GPL_HEADER),
+             ("f.txt", "The book was released under the old name; the license of the shop was with the owner. " * 20)]
+    found = scan(spark, files)
+    assert [found[i].own_license for i in range(6)] == ["GPL-3.0", "Apache-2.0", "MIT", "MIT", "GPL-3.0", None]
+    assert all(found[i].own_score == pytest.approx(1) for i in (1, 2, 3))
+
+
+def test_real_licence_texts(spark):
+    texts = [pathlib.Path("/usr/share/common-licenses", name).read_text() for name in ("GPL-3", "Apache-2.0", "BSD")]
+    found = scan(spark, [(f"{i}/LICENSE", text) for i, text in enumerate(texts)])
+    assert [found[i].own_license for i in range(3)] == ["GPL-3.0", "Apache-2.0", "BSD-3-Clause"]
+
+
+def test_texts_of_other_versions_are_not_taken_for_the_known(spark):
+    texts = [pathlib.Path("/usr/share/common-licenses", name).read_text() for name in ("GPL-2", "LGPL-2.1")]
+    found = scan(spark, [(f"{i}/LICENSE", text) for i, text in enumerate(texts)])
+    assert [found[i].own_license for i in range(2)] == [None] * 2
