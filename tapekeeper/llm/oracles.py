@@ -93,5 +93,23 @@ reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT vec_id, b FROM
 least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY 1)
 SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
 FROM least
+""",
+    "op11_infill": """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS d FROM documents),
+h AS (
+  SELECT doc_id, text, length(text) AS n, ('0x' || substr(d, 1, 8))::BIGINT % (length(text) + 1) AS p,
+         ('0x' || substr(d, 9, 8))::BIGINT % (length(text) + 1) AS q, ('0x' || substr(d, 17, 8))::BIGINT % 100 AS r,
+         ('0x' || substr(d, 25, 8))::BIGINT % 100 AS s FROM t),
+f AS (
+  SELECT doc_id, text, n, least(p, q) AS a, greatest(p, q) - least(p, q) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r >= 90 THEN 'plain'
+              WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (
+  SELECT *, '<P>' || substr(text, 1, a) AS prefix, '<M>' || substr(text, a + 1, b) AS middle, '<S>' || substr(text, a + b + 1) AS suffix
+  FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN prefix || suffix || middle ELSE suffix || prefix || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM o
 """,
 }

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapekeeper.llm import chat, exact_dedup, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
+from tapekeeper.llm import chat, exact_dedup, infill, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
 from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
 from tapekeeper.llm.training import examples
 
@@ -172,3 +172,11 @@ def op10_quality(spark, sf):
     held = F.coalesce(split_of(plain("id"), QUALITY_PARTS) == QUALITY_HELD, F.lit(False))
     return quality.score_quality(docs, model).select(
         F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op11_infill(spark, sf):
+    made = infill.fill_in_middle(table(spark, sf, "documents"))
+    back = infill.restored(F.col("form"), F.col("output"))
+    return made.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
