@@ -111,5 +111,15 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN prefix || suffix || middle ELSE suffix || prefix || middle END) AS output_sha256,
        sha256(text) AS restored_sha256
 FROM o
+""",
+    "op12_inner_search": """
+WITH s AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+  FROM s q JOIN s x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id AND len(x.v) = len(q.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 10
 """,
 }

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapekeeper.llm import chat, exact_dedup, infill, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
+from tapekeeper.llm import chat, exact_dedup, infill, inner_search, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
 from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
 from tapekeeper.llm.training import examples
 
@@ -180,3 +180,12 @@ def op11_infill(spark, sf):
     back = infill.restored(F.col("form"), F.col("output"))
     return made.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
                        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+# Of the vectors, each with an id divisible by this asks for so many best ones.
+ASKING, BEST = 100, 10
+
+
+@query
+def op12_inner_search(spark, sf):
+    return inner_search.search(table(spark, sf, "embeddings"), f"id % {ASKING} = 0", BEST)
