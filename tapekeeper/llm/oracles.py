@@ -1,5 +1,6 @@
 """SQL that DuckDB runs on the same tables, for the queries it can express."""
 
+from tapekeeper.llm.lexical import TERM as WORD
 from tapekeeper.llm.licenses import TEMPLATES, TERM
 
 TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{notice}')" for k, (name, notice) in enumerate(TEMPLATES))
@@ -121,5 +122,27 @@ p AS (
   FROM s q JOIN s x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id AND len(x.v) = len(q.v))
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM p QUALIFY rank <= 10
+""",
+    "op13_lexical_search": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}')) AS term
+  FROM documents),
+q AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}')) AS term
+  FROM benchmark),
+c AS (SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT r, count(*) AS n FROM d GROUP BY 1),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM c, s WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+m AS (SELECT r, 50 + (50 * n * docs) // total AS m FROM n, s),
+p AS (
+  SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM c JOIN m USING (r) JOIN w USING (term) JOIN q USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM p WHERE score > 0 QUALIFY rank <= 50
 """,
 }

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapekeeper.llm import chat, exact_dedup, infill, inner_search, langid, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
+from tapekeeper.llm import chat, exact_dedup, infill, inner_search, langid, lexical, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
 from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
 from tapekeeper.llm.training import examples
 
@@ -23,6 +23,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
@@ -189,3 +190,8 @@ ASKING, BEST = 100, 10
 @query
 def op12_inner_search(spark, sf):
     return inner_search.search(table(spark, sf, "embeddings"), f"id % {ASKING} = 0", BEST)
+
+
+@query
+def op13_lexical_search(spark, sf):
+    return lexical.rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
