@@ -1,9 +1,10 @@
 """SQL that DuckDB runs on the same tables, for the queries it can express."""
 
 from tapekeeper.llm.lexical import TERM as WORD
-from tapekeeper.llm.licenses import TEMPLATES, TERM
+from tapekeeper.llm.licenses import LEAST, NAMING, TEMPLATES, TERM, needed_terms
 
-TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{notice}')" for k, (name, notice) in enumerate(TEMPLATES))
+TEMPLATE_ROWS = ", ".join(
+    f"({k}, '{t.license}', '{t.text}', {t.title}, {needed_terms(t.text)}::VARCHAR[])" for k, t in enumerate(TEMPLATES))
 
 ORACLES = {
     "op5_exact_dedup": """
@@ -45,39 +46,46 @@ SELECT pair_id, CAST(count(*) FILTER (side = 'c' AND nth < fork) AS INTEGER) AS
 FROM marked GROUP BY pair_id
 """,
     "op6_licenses": f"""
-WITH t(template, license, notice) AS (VALUES {TEMPLATE_ROWS}),
-tterms AS (SELECT template, license, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM t),
-tcount AS (SELECT template, license, term, count(*) AS n FROM tterms GROUP BY ALL),
+WITH t(template, license, notice, title, needed) AS (VALUES {TEMPLATE_ROWS}),
+tlist AS (SELECT *, regexp_extract_all(lower(notice), '{TERM}') AS terms FROM t),
+tcount AS (SELECT template, license, term, count(*) AS n FROM (SELECT template, license, unnest(terms) AS term FROM tlist) GROUP BY ALL),
 idf AS (SELECT term, ln((1 + (SELECT count(*) FROM t)) / (1.0 + count(*))) + 1 AS idf FROM tcount GROUP BY 1),
 tw AS (SELECT template, license, term, n * idf AS w FROM tcount JOIN idf USING (term)),
 tl AS (SELECT template, sqrt(sum(w * w)) AS size FROM tw GROUP BY 1),
+known AS (
+  SELECT template, title, needed, len(terms) AS length, list_distinct(terms) AS own,
+         list_filter({NAMING}::VARCHAR[], lambda x: NOT list_contains(terms, x)) AS others FROM tlist),
 files AS (
-  SELECT doc_id, coalesce(text, '') AS text, source || '/p' || (doc_id // 100) AS package,
+  SELECT row_number() OVER () AS r, doc_id, source || '/p' || (doc_id // 100) AS package,
+         replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'licence', 'license') AS low,
          package || '/' || (doc_id // 10 % 10) AS folder,
          CASE WHEN doc_id % 100 = 55 THEN package || '/COPYING' WHEN doc_id % 10 = 0 THEN folder || '/LICENSE'
               ELSE folder || '/' || doc_id || '.txt' END AS path,
          CASE WHEN doc_id % 100 = 55 THEN package ELSE folder END AS dir,
          doc_id % 100 = 55 OR doc_id % 10 = 0 AS whole
   FROM documents),
-pieces AS (
-  SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS unit FROM files
-  UNION ALL SELECT doc_id, lower(text) FROM files WHERE whole),
-units AS (SELECT doc_id, row_number() OVER () AS u, unit FROM pieces WHERE regexp_matches(unit, 'licen|permi|software|redistr|apache|mit|gnu|bsd')),
-uterms AS (SELECT doc_id, u, unnest(regexp_extract_all(unit, '{TERM}')) AS term FROM units),
-ucount AS (SELECT doc_id, u, term, count(*) AS n FROM uterms GROUP BY ALL),
-uw AS (SELECT doc_id, u, term, n * coalesce(idf, ln(1 + (SELECT count(*) FROM t)) + 1) AS w FROM ucount LEFT JOIN idf USING (term)),
-ul AS (SELECT u, sqrt(sum(w * w)) AS size FROM uw GROUP BY 1),
+split AS (SELECT r, whole, regexp_extract_all(low, '{TERM}') AS terms FROM files),
+near AS (
+  SELECT r, k.*, terms FROM split JOIN known k ON list_has_all(terms, needed) AND (whole OR NOT title)),
+places AS (SELECT *, unnest(range(1, len(terms) - length + 2)) AS place FROM near),
+passages AS (
+  SELECT row_number() OVER () AS p, r, template, list_slice(terms, place, place + length - 1) AS terms FROM places
+  WHERE list_contains(own, terms[place]) AND list_has_all(list_slice(terms, place, place + length - 1), needed)
+    AND NOT list_has_any(list_slice(terms, place, place + length - 1), others)),
+pcount AS (SELECT p, r, template, term, count(*) AS n FROM (SELECT p, r, template, unnest(terms) AS term FROM passages) GROUP BY ALL),
+pw AS (SELECT p, r, template, term, n * coalesce(idf, ln(1 + (SELECT count(*) FROM t)) + 1) AS w FROM pcount LEFT JOIN idf USING (term)),
+pl AS (SELECT p, sqrt(sum(w * w)) AS size FROM pw GROUP BY 1),
 hits AS (
-  SELECT uw.doc_id, uw.u, tw.template, tw.license, sum(uw.w * tw.w) AS dot FROM uw JOIN tw USING (term) GROUP BY ALL),
+  SELECT pw.p, pw.r, tw.template, tw.license, sum(pw.w * tw.w) AS dot FROM pw JOIN tw USING (template, term) GROUP BY ALL),
 scores AS (
-  SELECT doc_id, license, dot / ul.size / tl.size AS score FROM hits JOIN ul USING (u) JOIN tl USING (template)),
+  SELECT r, license, dot / pl.size / tl.size AS score, dot / pl.size AS held FROM hits JOIN pl USING (p) JOIN tl USING (template)),
 own AS (
-  SELECT doc_id, license AS own_license, round(score, 6) AS own_score FROM scores WHERE score >= 0.7
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, license) = 1),
-listed AS (SELECT * FROM files LEFT JOIN own USING (doc_id)),
+  SELECT r, license AS own_license, round(score, 6) AS own_score FROM scores WHERE score >= {LEAST}
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY round(held, 9) DESC, license, score DESC) = 1),
+listed AS (SELECT * FROM files LEFT JOIN own USING (r)),
 granted AS (
   SELECT dir, own_license FROM listed WHERE whole AND own_license IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path, doc_id) = 1)
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path, own_license) = 1)
 SELECT l.doc_id, l.path, l.own_license, l.own_score, coalesce(f.own_license, p.own_license) AS inherited_license,
        coalesce(f.dir, p.dir) AS inherited_from, coalesce(l.own_license, f.own_license, p.own_license) AS license
 FROM listed l LEFT JOIN granted f ON f.dir = l.dir LEFT JOIN granted p ON p.dir = l.package AND p.dir <> l.dir
