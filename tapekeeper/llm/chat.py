@@ -40,11 +40,12 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair: str = "pair
     and text is rendered once, as ``prompt``; the completions are the turns after it. A pair that one table lacks
     has an empty completion there; equal conversations are all prompt and ``differs`` is false. An
     opening mark inside a role or text is defused, so no text can forge a turn. Rows with a null
-    pair are one pair. One shuffle on the pair; a row of the result is as long as its conversations.
+    pair belong to no pair and are left out: nothing gathers them. One shuffle on the pair; a row of the result is as long as its
+    two conversations, which have to fit a task.
     """
     def side(rows: DataFrame, number: int) -> DataFrame:
         safe = lambda c: F.replace(F.coalesce(plain(c).cast("string"), F.lit("")), F.lit(OPEN), F.lit(DEFUSED))
-        return rows.select(plain(pair).alias("pair_id"), F.lit(number).alias("side"),
+        return rows.filter(plain(pair).isNotNull()).select(plain(pair).alias("pair_id"), F.lit(number).alias("side"),
                            F.struct(plain(turn).alias("turn"), safe(role).alias("role"), safe(text).alias("text")).alias("t"))
 
     both = side(chosen, 0).unionByName(side(rejected, 1))
