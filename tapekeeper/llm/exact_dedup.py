@@ -4,11 +4,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapekeeper.llm.shared import ascii_lower, plain, text_of, with_groups, written
+from tapekeeper.llm.shared import ascii_lower, plain, shared_folder, text_of, with_groups, written
 
 # Fixed value: bits in one of Spark's bitmaps.
 BITMAP_BITS = 32768
 
+# Places a hash has in a filter, and bits of one filter at most: 128 MB on the driver and in a task.
+PROBES, MAX_BITS = 2, 1 << 30
+
 
 def _positions(hash_column: Column, bits: int, probes: int) -> Column:
     """The distinct places of a hash in a filter of ``bits`` (a power of two)."""
@@ -16,13 +19,12 @@ def _positions(hash_column: Column, bits: int, probes: int) -> Column:
     return F.array_distinct(F.array(*[(high + low * i).bitwiseAND(F.lit(bits - 1)) for i in range(probes)]))
 
 
-def repeat_test(hashes: DataFrame, name: str, bits_per_row: int = 16, probes: int = 4, max_bits: int = 1 << 30):
+def repeat_test(hashes: DataFrame, name: str, bits_per_row: int = 16, probes: int = PROBES, max_bits: int = MAX_BITS):
     """Pass one: a column function telling which hashes may occur more than once. It is never wrong about those that do.
 
     The filter keeps the places that two rows or more have set. Rows are counted into places by
     Spark, so a hash with very many copies is one row per task in the shuffle, and folded into 4 KB
-    bitmaps. What reaches the driver and is broadcast is at most ``max_bits`` / 8 bytes; a fuller filter lets more
-    rows shuffle and changes no result.
+    bitmaps. What reaches the driver and is broadcast is at most ``max_bits`` / 8 bytes.
     """
     spark, rows = hashes.sparkSession, max(1, hashes.count())
     bits = max(BITMAP_BITS, min(max_bits, 1 << (rows * bits_per_row - 1).bit_length()))
@@ -51,6 +53,26 @@ def repeat_test(hashes: DataFrame, name: str, bits_per_row: int = 16, probes: in
     return may_repeat
 
 
+def flagged(rows: DataFrame, name: str, bits_per_row: int = 16, probes: int = PROBES, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows with ``maybe``: whether their hash may occur more than once.
+
+    More rows than one filter has room for are written by parts of the hash space, and each part is tested against a filter of its
+    own, one after the other: at any size as few rows are taken for copies, and one filter is held at a time.
+    """
+    parts = -(-rows.count() * bits_per_row // max_bits)
+    if parts <= 1:
+        return rows.withColumn("maybe", repeat_test(rows.select(name), name, bits_per_row, probes, max_bits)(name))
+    folder = shared_folder(rows.sparkSession, "by-hash")
+    dealt = rows.withColumn("part_", F.pmod(F.xxhash64(name), F.lit(parts)).cast("int"))
+    dealt.write.option("compression", "zstd").partitionBy("part_").parquet(folder)
+    stored, done = rows.sparkSession.read.schema(dealt.schema).parquet(folder), None
+    for part in range(parts):
+        mine = stored.filter(F.col("part_") == part).drop("part_")
+        tested = written(mine.withColumn("maybe", repeat_test(mine.select(name), name, bits_per_row, probes, max_bits)(name)), "flagged")
+        done = tested if done is None else done.unionByName(tested)
+    return done
+
+
 def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **filter_options) -> DataFrame:
     """(id, keep_id, group_size, kept, digest) for every row; texts are equal but for the case of A-Z.
 
@@ -62,10 +84,9 @@ def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text = ascii_lower(text_of(text_column))
     rows = written(docs.select(plain(id_column).alias("id"), F.sha2(text, 256).alias("digest"),
                                F.xxhash64(text).alias("h")), "digests")
-    may_repeat = repeat_test(rows.select("h"), "h", **filter_options)
-    flagged = written(rows.select("id", "digest", may_repeat("h").alias("maybe")), "flagged")
-    maybe = flagged.filter("maybe").drop("maybe")
-    single = flagged.filter("not maybe").select(
+    tested = written(flagged(rows, "h", **filter_options).select("id", "digest", "maybe"), "tested")
+    maybe = tested.filter("maybe").drop("maybe")
+    single = tested.filter("not maybe").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     several = with_groups(maybe, "digest", F.max).select(
         "id", F.col("chosen").alias("keep_id"), "group_size", F.col("id").eqNullSafe(F.col("chosen")).alias("kept"), "digest")
@@ -80,9 +101,8 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text = ascii_lower(text_of(text_column))
     rows = docs.select(F.struct(*[plain(c) for c in docs.columns]).alias("row"), plain(id_column).alias("id"),
                        text.alias("low")).withColumn("h", F.xxhash64("low"))
-    may_repeat = repeat_test(rows.select("h"), "h", **filter_options)
-    flagged = rows.withColumn("maybe", may_repeat("h"))
-    single = flagged.filter("not maybe").select("row.*")
-    maybe = written(flagged.filter("maybe").select("row", "id", F.sha2("low", 256).alias("digest")), "maybe")
+    tested = flagged(rows, "h", **filter_options)
+    single = tested.filter("not maybe").select("row.*")
+    maybe = written(tested.filter("maybe").select("row", "id", F.sha2("low", 256).alias("digest")), "maybe")
     survivors = with_groups(maybe, "digest", F.max).filter(F.col("id").eqNullSafe(F.col("chosen")))
     return single.unionByName(survivors.dropDuplicates(["digest"]).select("row.*"))

@@ -71,9 +71,10 @@ def with_groups(rows: DataFrame, key: str, pick) -> DataFrame:
     """Rows (id, key, ...) with ``chosen``, the ``pick`` (F.min or F.max) of their group's ids, and ``group_size``.
 
     A group's rows are dealt to salts, summed up by salt, and joined back by salt: the rows of one
-    key spread over as many tasks, and no group is repeated for salts it doesn't have.
+    key spread over as many tasks, and no group is repeated for salts it doesn't have. Salts go round row by row and are
+    written, so rows without an id, or with one id, spread like any other.
     """
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    salted = written(rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))), "salted")
     parts = salted.groupBy(key, "salt").agg(pick("id").alias("chosen"), F.count(F.lit(1)).alias("group_size"))
     groups = parts.groupBy(key).agg(pick("chosen").alias("chosen"), F.sum("group_size").alias("group_size"))
     return salted.join(parts.select(key, "salt").join(groups, key), [key, "salt"]).drop("salt")
