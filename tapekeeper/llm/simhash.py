@@ -145,7 +145,10 @@ def fingerprint_links(distinct: DataFrame, radius: int) -> DataFrame:
         ends = values.astype(np.int64)
         return pd.DataFrame({"a": ends[links[:, 0]], "b": ends[links[:, 1]]})
 
-    compared = meetings.repartition(*place).groupBy(*place).applyInPandas(compare, "a bigint, b bigint")
+    # Few bytes, much work: a number of partitions by the work, which Spark does not join into few by their size.
+    work = buckets.filter("n > 2").agg(F.sum(F.expr(f"n * ((n + {SIDE - 1}) div {SIDE})"))).first()[0] or 0
+    tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-work // (2 * SIDE)))
+    compared = meetings.repartition(int(tasks), *place).groupBy(*place).applyInPandas(compare, "a bigint, b bigint")
     return pairs.unionByName(compared)
 
 
