@@ -14,29 +14,29 @@ from tapekeeper.llm.shared import plain, text_of, written
 BLOCK = 1024
 
 
-def _encoding(ranks_path: str, pattern: str):
+def _encoding(ranks_path: str, pattern: str, special: dict[str, int]):
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
-def tokenize(docs: DataFrame, ranks_path: str, pattern: str, end_id: int, id_column: str = "doc_id",
-             text_column: str = "text") -> DataFrame:
+def tokenize(docs: DataFrame, ranks_path: str, pattern: str, end_id: int, special: dict[str, int] | None = None,
+             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc, ids, tokens, part, before) per row: byte-level BPE ids of the whole text, then ``end_id``.
 
     ``ids`` are little-endian unsigned 32-bit numbers in one binary value. ``before`` counts the ids
     of earlier rows of the same partition ``part``. The rank file is opened inside tasks; the ids
-    are those of the same vocabulary in any other library. Null text is empty text; strings that
-    name special tokens are ordinary text.
+    are those of the same vocabulary in any other library. Null text is empty text. ``special`` names strings that are
+    cut out of the text first, each one id; without it they are ordinary text.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, before = _encoding(ranks_path, pattern), TaskContext.get().partitionId(), 0
+        coder, part, before = _encoding(ranks_path, pattern, special or {}), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids = [coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes() + end
+            ids = [coder.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes() + end
                    for text in batch.column(1).to_pylist()]
             counts = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
             starts = before + np.cumsum(counts) - counts

@@ -1,6 +1,7 @@
 """The registered queries of this subpackage: each applies one operator to its whole table."""
 
 import functools
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapekeeper.llm import chat, exact_dedup, infill, inner_search, langid, lexical, licenses, packing, piece_tokens, quality, simhash, toxicity, vector_links
 from tapekeeper.llm.shared import plain, sample_rows, ship, split_of, written
-from tapekeeper.llm.training import examples
+from tapekeeper.llm.training import examples, row_mark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,17 +45,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def special_tokens(path: str) -> dict[str, int]:
+    """The strings that a tokenizer file has as tokens of their own."""
+    with open(path, encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of the documents in windows, with the ids' checksum."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
-    tokens = written(packing.tokenize(docs, path, public_tokenizers.PATTERN, END), "tokens")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json, which also names special strings
+    special = special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = written(packing.tokenize(docs, path, public_tokenizers.PATTERN, END, special), "tokens")
     return packing.pack(tokens, WINDOW).select(
         F.col("doc").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset", "cut_before", "cut_after")
 
 
-# Most labelled rows a model is fitted on; for languages, of each.
-SAMPLE, SAMPLE_PER_LANGUAGE = 8000, 1000
+# Most labelled rows a model is fitted on; for toxicity half of them of each label, so that a rare one has its share. For languages: most
+# rows of each, most languages (those with the most rows), and most rows of all languages together.
+SAMPLE, SAMPLE_PER_LANGUAGE, LANGUAGES, SAMPLE_OF_LANGUAGES = 8000, 1000, 256, 32000
 
 # Toxic rows with at least this expected severity are rejected: half way to grade 1.
 REJECTED_SEVERITY = 0.5
@@ -64,14 +73,14 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
     """Fitted on a sample of the labelled rows of ``docs``: grade 0 is not toxic; toxic rows are 2 if they hold more
     words typical of toxic rows than most of them do, else 1."""
     labels = table(spark, sf_dir, "labels").filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    sample = sample_rows(labels, "doc_id", SAMPLE).select(F.col("doc_id").alias("id"), "label")
+    sample = sample_rows(labels, "doc_id", SAMPLE // 2, "label").select(F.col("doc_id").alias("id"), "label")
     rows = examples(docs, sample, toxicity.word_presence)
     toxic = np.array([r.label > 0 for r in rows], bool)
-    places, z = toxicity.telling_places(rows, toxic)
-    typical = places[z > 0]
-    hits = np.array([np.isin(r.places, typical).sum() for r in rows])
+    places = toxicity.telling_places(rows, toxic)
+    hits = np.array([np.isin(r.places, places).sum() for r in rows])
     heavy = hits > np.median(hits[toxic]) if toxic.any() else toxic
-    return toxicity.fit_severity(rows, places, toxic.astype(int) + (toxic & heavy))
+    known, positive = labels.agg(F.count(F.lit(1)), F.count_if(F.col("label") > 0)).first()
+    return toxicity.fit_severity(rows, places, toxic.astype(int) + (toxic & heavy), share=(positive + 0.5) / (known + 1))
 
 
 @query
@@ -111,8 +120,12 @@ LANGUAGE_PARTS, LANGUAGE_HELD, QUALITY_PARTS, QUALITY_HELD = 4, 2, 3, 1
 def language_model(docs: DataFrame) -> langid.Languages:
     """Fitted on at most 1,000 texts of each language, none of them of the held-out part."""
     known = docs.filter("lang is not null and doc_id is not null").filter(
-        split_of(plain("doc_id"), LANGUAGE_PARTS) != LANGUAGE_HELD).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
-    return langid.fit_languages(examples(docs, sample_rows(known, "id", SAMPLE_PER_LANGUAGE, "label"), langid.subwords))
+        split_of(plain("doc_id"), LANGUAGE_PARTS) != LANGUAGE_HELD).select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("label"), row_mark().alias("mark"))
+    common = written(known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES), "languages")
+    each = min(SAMPLE_PER_LANGUAGE, SAMPLE_OF_LANGUAGES // max(1, common.count()))
+    sample = sample_rows(known.join(F.broadcast(common.select("label")), "label"), "id", each, "label")
+    return langid.fit_languages(examples(docs, sample, langid.subwords))
 
 
 @query

@@ -55,28 +55,56 @@ def word_presence():
     return of
 
 
-def telling_places(rows: list[Example], positive: np.ndarray, least_rows: int = 8, least_z: float = 6.0):
-    """(places, z): words in at least so many rows whose share of positive rows lies z standard errors off, and z itself."""
+def _associations(row: np.ndarray, place: np.ndarray, positive: np.ndarray) -> np.ndarray:
+    """For each place how many standard errors its log odds among positive rows lie above those among the others; 0 if in one row only."""
+    n = np.bincount(place, minlength=PLACES)
+    a, b = np.bincount(place, positive[row].astype(float), PLACES) + 0.5, np.bincount(place, ~positive[row], PLACES) + 0.5
+    c, d = positive.sum() + 1 - a, (~positive).sum() + 1 - b
+    return np.where(n > 1, np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d), 0)
+
+
+def telling_places(rows: list[Example], positive: np.ndarray, noise: float = 0.1, draws: int = 3, seed: int = 5) -> np.ndarray:
+    """Places of words that are typical of the positive rows.
+
+    How typical is enough depends on how many rows there are. So as many rows are drawn from the others and taken for
+    positive, a few times over: the bound is the lowest at which such chance finds are at most a share ``noise`` of the real ones.
+    """
     row, place, _ = stacked(rows)
     if not len(place) or positive.all() or not positive.any():
-        return np.empty(0, np.int64), np.empty(0)
-    rate = positive.mean()
-    n = np.bincount(place, minlength=PLACES)
-    z = (np.bincount(place, positive[row], PLACES) - n * rate) / np.sqrt(np.maximum(n, 1) * rate * (1 - rate))
-    chosen = np.nonzero((n >= least_rows) & (np.abs(z) >= least_z))[0]
-    return chosen, z[chosen]
+        return np.empty(0, np.int64)
+    found = _associations(row, place, positive)
+    others, chance = np.nonzero(~positive)[0], []
+    number = np.full(len(positive), -1)
+    number[others] = np.arange(len(others))
+    inside = number[row] >= 0
+    rng = np.random.default_rng(seed)
+    for _ in range(draws):
+        taken = np.zeros(len(others), bool)
+        taken[rng.choice(len(others), min(int(positive.sum()), len(others) // 2), replace=False)] = True
+        chance.append(np.sort(_associations(number[row[inside]], place[inside], taken)) if taken.any() else np.zeros(1))
+    for bound in np.arange(1.5, 20, 0.25):
+        wrong = np.mean([len(z) - np.searchsorted(z, bound) for z in chance])
+        if wrong <= noise * np.count_nonzero(found >= bound):
+            break
+    return np.nonzero(found >= bound)[0]
 
 
 def fit_severity(rows: list[Example], places: np.ndarray, grades: np.ndarray, penalty: float = 1e-4,
-                 steps: int = 400, rate: float = 0.1) -> Severity:
+                 steps: int = 400, rate: float = 0.1, share: float | None = None) -> Severity:
     """Maximises the penalised likelihood of ordered grades 0, 1, ... by Adam over all rows.
 
+    With ``share``, the known share of rows above grade 0, the rows of grade 0 and the others weigh alike in the fit
+    whatever their numbers, and the thresholds are then moved by the log odds of that share.
+
     P(grade > k) = sigmoid(w x - t_k) with one w for all k and t_0 <= t_1 <= ... Rows are texts'
     sets of words, restricted to ``places``. Without rows, or with a single grade, there is nothing
     to learn: no weights and thresholds that give every text that grade's neighbourhood.
     """
     top = int(grades.max()) if len(grades) else 1
-    shares = [(np.sum(grades > k) + 0.5) / (len(grades) + 1) for k in range(max(1, top))]
+    above, even = np.count_nonzero(grades), share is not None and 0 < np.count_nonzero(grades) < len(grades)
+    weight = np.where(grades > 0, 0.5 / max(1, above), 0.5 / max(1, len(grades) - above)) if even else np.full(
+        len(grades), 1 / max(1, len(grades)))
+    shares = [(weight[grades > k].sum() * len(grades) + 0.5) / (len(grades) + 1) for k in range(max(1, top))]
     t = np.array([np.log((1 - s) / s) for s in shares])
     row, place, _ = stacked(rows)
     at = np.searchsorted(places, place)
@@ -89,18 +117,19 @@ def fit_severity(rows: list[Example], places: np.ndarray, grades: np.ndarray, pe
     for step in range(1, steps + 1 if len(grades) and top else 1):
         w, t = params[:size], params[size:]
         score = np.bincount(row, w[at], len(grades))
-        above = np.concatenate([np.ones((len(grades), 1)), sigmoid(score[:, None] - t), np.zeros((len(grades), 1))], axis=1)
-        a, b = above[each, grades], above[each, grades + 1]
+        over = np.concatenate([np.ones((len(grades), 1)), sigmoid(score[:, None] - t), np.zeros((len(grades), 1))], axis=1)
+        a, b = over[each, grades], over[each, grades + 1]
         p = np.maximum(a - b, 1e-12)
         slope = np.zeros((len(grades), top + 2))
         slope[each, grades] -= a * (1 - a) / p
         slope[each, grades + 1] += b * (1 - b) / p
-        gradient = np.concatenate([np.bincount(at, (1 - a - b)[row], size) / len(grades) - penalty * w,
-                                   slope[:, 1:-1].mean(axis=0)])
+        gradient = np.concatenate([np.bincount(at, (weight * (1 - a - b))[row], size) - penalty * w,
+                                   weight @ slope[:, 1:-1]])
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         params = params + rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
         params[size:] = np.maximum.accumulate(params[size:])
-    return Severity(places, params[:size], params[size:])
+    moved = np.log((1 - share) / share) if even else 0.0
+    return Severity(places, params[:size], params[size:] + moved)
 
 
 def score_severity(docs: DataFrame, model: Severity, id_column: str = "doc_id", text_column: str = "text",

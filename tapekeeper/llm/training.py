@@ -5,11 +5,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapekeeper.llm.shared import plain, text_of
 
 
+def row_mark(text_column: str = "text") -> Column:
+    """What tells rows that share an id apart in training: a hash of their text."""
+    return F.xxhash64(text_of(text_column))
+
+
 class Example(NamedTuple):
     label: object
     places: np.ndarray    # hashed features, each once
@@ -21,24 +26,28 @@ def examples(docs: DataFrame, labels: DataFrame, features: Callable[[], Callable
     """Features of the whole texts of labelled rows, in the order of the ids, for fitting on the driver.
 
     ``labels`` has (id, label) and at most as many rows as the caller's documented bound, which is
-    also why it may be broadcast; of rows with one id one is taken. ``features()`` is called once per task and
-    returns the function from a text to (places, values).
+    also why it may be broadcast. With a column ``mark`` a label belongs to the rows of that id and ``row_mark``; without,
+    to the id, and of several rows that share it the one with the smallest mark is taken. Either way a label gives
+    one example. ``features()`` is called once per task and returns the function from a text to (places, values).
     """
+    marked = "mark" in labels.columns
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = features()
         for batch in batches:
             found = [of(text.as_py()) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([p.astype("<u4").tobytes() for p, _ in found], pa.binary()),
+                [batch.column(0), batch.column(1), batch.column(3), pa.array([p.astype("<u4").tobytes() for p, _ in found], pa.binary()),
                  pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())],
-                names=["id", "label", "places", "values"])
+                names=["id", "label", "mark", "places", "values"])
 
-    rows = docs.select(plain(id_column).alias("id"), text_of(text_column).alias("text")).join(F.broadcast(labels), "id")
-    rows = rows.select("id", "label", "text")
+    rows = docs.select(plain(id_column).alias("id"), text_of(text_column).alias("text"), row_mark(text_column).alias("mark"))
+    rows = rows.join(F.broadcast(labels), ["id", "mark"] if marked else "id").select("id", "label", "text", "mark")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    shape = f"id {kinds['id']}, label {kinds['label']}, places binary, values binary"
-    fetched = rows.mapInArrow(extract, shape).dropDuplicates(["id"]).orderBy("id").toArrow()
+    shape = f"id {kinds['id']}, label {kinds['label']}, mark bigint, places binary, values binary"
+    found = rows.mapInArrow(extract, shape).groupBy("id", "label", *(["mark"] if marked else [])).agg(
+        F.min(F.struct("mark", "places", "values")).alias("row"))
+    fetched = found.select("id", "label", "row.*").orderBy("id", "mark", "label").toArrow()
     return [Example(r["label"], np.frombuffer(r["places"], "<u4"), np.frombuffer(r["values"], "<f4"))
             for r in fetched.select(["label", "places", "values"]).to_pylist()]
 

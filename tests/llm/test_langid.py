@@ -80,3 +80,19 @@ def test_model_never_sees_held_out_rows(spark):
                                            F.lit("xx")).otherwise(F.col("lang")))
     assert any(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in lying.filter("lang = 'xx'").collect())
     assert language_model(lying).names == language_model(docs).names
+
+
+def test_examples_are_of_the_labelled_row(spark):
+    """Rows that share an id: each label comes with its own text, and texts without a label teach nothing."""
+    from pyspark.sql import functions as F
+
+    from tapekeeper.llm.training import examples, row_mark
+    rows = spark.createDataFrame([(7, "aaa", "en"), (7, "bbb", "de"), (7, "ccc", None), (8, "ddd", "de"), (8, "ddd", "de")],
+                                 "doc_id long, text string, lang string")
+    known = rows.filter("lang is not null").select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), row_mark().alias("mark"))
+    def texts():
+        return lambda text: (np.array([ord(text[0])]) if text else np.array([0]), np.ones(1))
+    found = sorted((r.label, chr(int(r.places[0]))) for r in examples(rows, known, texts))
+    assert found == [("de", "b"), ("de", "d"), ("en", "a")]
+    by_id = known.drop("mark").filter("label = 'en'")
+    assert len(examples(rows, by_id, texts)) == 1 == len(examples(rows.repartition(4), by_id, texts))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tapekeeper.llm import packing
-from tapekeeper.llm.queries import op2_packing
+from tapekeeper.llm.queries import op2_packing, special_tokens
 from tapekeeper.llm.shared import written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,13 +15,24 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 @pytest.fixture(scope="module")
 def coder():
-    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
-    return coder
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def tokens(docs, **names):
-    return written(packing.tokenize(docs, RANKS, public_tokenizers.PATTERN, 1, **names), "tokens")
+    special = special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return written(packing.tokenize(docs, RANKS, public_tokenizers.PATTERN, 1, special, **names), "tokens")
+
+
+def test_special_strings_are_the_librarys_ids(spark, coder):
+    mark = "<|endoftext|>"
+    texts = [mark, f"{mark}a", f"a{mark}", f"hello {mark} world", mark * 3, f" {mark}\n{mark} ", mark[:-1], f"<{mark}>", f"{mark.upper()} é{mark}é", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc: np.frombuffer(r.ids, "<u4").tolist() for r in tokens(docs).collect()}
+    for number, text in enumerate(texts):
+        assert found[number] == coder.encode(text, add_special_tokens=False).ids + [1], text
+    assert 50256 in found[3]
+    plain = packing.tokenize(docs, RANKS, public_tokenizers.PATTERN, 1).collect()
+    assert not any(50256 in np.frombuffer(r.ids, "<u4") for r in plain)
 
 
 def test_query_against_the_tokenizers_library(spark, sf, coder):

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 
 from tapekeeper.llm import toxicity
-from tapekeeper.llm.queries import op1_toxicity, table, toxicity_model
+from tapekeeper.llm.queries import REJECTED_SEVERITY, table, toxicity_model
 from tapekeeper.llm.training import Example
 
 
@@ -19,7 +20,7 @@ def fit(rows):
     of = toxicity.word_presence()
     made = [Example(g, *of(t)) for t, g in rows]
     grades = np.array([g for _, g in rows])
-    places, _ = toxicity.telling_places(made, grades > 0)
+    places = toxicity.telling_places(made, grades > 0)
     return toxicity.fit_severity(made, places, grades)
 
 
@@ -56,13 +57,19 @@ def test_edge_rows_and_empty_tables(spark):
     assert toxicity.score_severity(docs.limit(0), model).count() == 0
 
 
-def test_query_finds_labelled_toxic_rows(spark):
-    sf = "/root/testdata/sf0.01"
-    rows = {r.doc_id: r for r in op1_toxicity(spark, sf).collect()}
-    labels = {r.doc_id: r for r in table(spark, sf, "labels").collect()}
-    assert len(rows) == table(spark, sf, "documents").count()
-    clean = [rows[d].rejected for d, r in labels.items() if r.toxic == 0]
-    assert np.mean(clean) < 0.02
+@pytest.mark.parametrize("taught, clean, recall", [(35, 3400, 0.45), (300, 3000, 0.8)])
+def test_unseen_toxic_rows_are_found(spark, tmp_path, taught, clean, recall):
+    """Of the labelled rows of a table some are shown, one in 100 or in 11 toxic; of the others most toxic and hardly any clean ones go."""
+    sf = "/root/testdata/sf0.1"
+    labels = sorted(tuple(r) for r in table(spark, sf, "labels").filter("toxic is not null").select("doc_id", "toxic").collect())
+    toxic, fine = [d for d, t in labels if t], [d for d, t in labels if not t]
+    shown = [(d, None, 1) for d in toxic[:taught]] + [(d, None, 0) for d in fine[:clean]]
+    spark.createDataFrame(shown, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, sf, "documents").join(spark.createDataFrame([(d,) for d, _ in labels], "doc_id long"), "doc_id")
+    model = toxicity_model(spark, docs, str(tmp_path))
+    gone = {r.id for r in toxicity.score_severity(docs, model).filter(f"severity >= {REJECTED_SEVERITY}").collect()}
+    assert len(gone & set(toxic[taught:])) >= recall * len(toxic[taught:])
+    assert len(gone & set(fine[clean:])) <= 0.02 * len(fine[clean:])
 
 
 def test_model_without_labels(spark, tmp_path):
