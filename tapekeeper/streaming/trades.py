@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tapekeeper.operators.health import seen_partial
 from tapekeeper.operators.peaks import peak_partial
 from tapekeeper.schema import KEY
+from tapekeeper.sinks.commits import commit_batch
 from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_peaks, write_seen
 from tapekeeper.sources.intake import REASON, split_valid
 
@@ -18,9 +19,12 @@ QUERY_ID = "sql.streaming.queryId"
 
 def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | None = "2 seconds",
                  peaks_path: str | None = None, quarantine_path: str | None = None,
-                 seen_path: str | None = None) -> StreamingQuery:
+                 seen_path: str | None = None, committed: bool = False) -> StreamingQuery:
     """Write a stream of typed trades, one folder per micro-batch, and return the running query.
 
+    With ``committed`` the target is a committed table: a batch becomes visible as a whole, and a replayed one, known by writer and
+    number, is not written again.
+
     Offsets are committed only after the batch is written, and a replayed batch overwrites its own
     folders, so a crash at any point loses and repeats nothing once reads resolve duplicates. The
     writer is the query's id, which its checkpoint keeps over restarts: other streams, a fresh
@@ -37,7 +41,7 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
             batch = batch.persist()  # read once per target; lost blocks are recomputed from the source
         try:
             good, bad = split_valid(batch) if REASON in batch.columns else (batch, None)
-            write_batch(good, path, writer, batch_id)
+            (commit_batch if committed else write_batch)(good, path, writer, batch_id)
             if peaks_path is not None:
                 write_peaks(peak_partial(good), peaks_path, writer, batch_id)
             if seen_path is not None:
