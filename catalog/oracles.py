@@ -1,7 +1,5 @@
 """SQL that DuckDB runs on the same tables, one string per query it can express."""
 
-from catalog import tape
-
 TAPE = """
 ev AS (
   SELECT event_id, upper(event_type) AS symbol, CAST(value AS DECIMAL(18,8)) AS price,
@@ -128,12 +126,13 @@ def select_lost(where):
 HEALTH = f"{freshness('dense')} UNION ALL {stalls('dense', 3600)} UNION ALL {gap_check(WHOLE)}"
 
 # Each cycle sees the tape up to its time: its checks, then what healing brought back.
-CYCLES = ", ".join(f"(TIMESTAMP '{time}')" for time in tape.CYCLES)
-CHECKS = f"""
-cycles(cyc) AS (VALUES {CYCLES}),
+CHECKS = """
+cycles AS (
+  SELECT unnest(generate_series(date_trunc('day', min(trade_time)) + INTERVAL 1 DAY, date_trunc('day', max(trade_time)) + INTERVAL 1 DAY,
+         INTERVAL 1 DAY)) AS cyc FROM ev),
 known AS (SELECT cyc, dense.* FROM cycles, dense WHERE trade_time <= cyc),
 newest AS (SELECT cyc, symbol, max(trade_time) AS t FROM known GROUP BY 1, 2),
-looked AS (SELECT * FROM known WHERE trade_time > cyc - INTERVAL 5 DAY),
+looked AS (SELECT * FROM known WHERE trade_time > cyc - INTERVAL 2 DAY),
 absent AS (
   SELECT cyc, symbol, unnest(generate_series(low, high)) AS trade_id
   FROM (SELECT cyc, symbol, min(trade_id) AS low, max(trade_id) AS high FROM looked GROUP BY 1, 2)

@@ -10,16 +10,14 @@ of the daily hour 03 are missing, so its ids have short and long holes.
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tapekeeper.functions.time import from_utc_clock, to_millis
-from tapekeeper.operators.health import seen_partial
-from tapekeeper.plans.cycles import run_heal, run_health
+from tapekeeper.plans.cycles import run_cycles
 from tapekeeper.schema import MONEY, TRADES
 
 AS_OF = "2024-01-31 00:00:00"
 SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "GHOST"]
 
-# When the monitor ran, and how far back it looked.
-CYCLES = ["2024-01-20 06:00:00", "2024-01-31 00:00:00"]
-CYCLE_WINDOW = "5 days"
+# How often the monitor ran, and how far back it looked.
+CYCLE_EVERY, CYCLE_WINDOW = "1 day", "2 days"
 
 # Events per numbering bucket.
 SPAN = 1 << 16
@@ -123,16 +121,11 @@ def daily_candles(spark, sf_dir) -> DataFrame:
 
 
 def check_log(spark, sf_dir) -> DataFrame:
-    """The check log that a monitor of this tape left: the library's health and healing cycles at a few times."""
-    cycles = None
-    for time in CYCLES:
-        known = dense_trades(spark, sf_dir).filter(F.col("trade_time") <= F.lit(f"{time}+00:00").cast("timestamp"))
-        seen = seen_partial(known).checkpoint() if spark.sparkContext.getCheckpointDir() else seen_partial(known)
-        health = run_health(known, SYMBOLS, time, 600, 1800, CYCLE_WINDOW, seen)
-        audit = run_heal(known, history(spark, sf_dir), SYMBOLS, time, CYCLE_WINDOW).audit
-        rows = health.unionByName(audit).withColumn("checked_at", F.lit(f"{time}+00:00").cast("timestamp"))
-        cycles = rows if cycles is None else cycles.unionByName(rows)
-    return cycles
+    """The check log that a monitor of this tape left: the library's health and healing cycles at the end of each of its days."""
+    whole = F.date_trunc("day", F.col("ts"))
+    first, last = (f"{t:%Y-%m-%d} 00:00:00" if t else AS_OF for t in table(spark, sf_dir, "events").agg(
+        F.min(whole) + F.expr("INTERVAL 1 DAY"), F.max(whole) + F.expr("INTERVAL 1 DAY")).first())
+    return run_cycles(dense_trades(spark, sf_dir), history(spark, sf_dir), SYMBOLS, first, last, CYCLE_EVERY, 600, 1800, CYCLE_WINDOW)
 
 
 def order_tape(spark, sf_dir) -> DataFrame:

@@ -25,8 +25,8 @@ def missing_ids(trades: DataFrame, symbols=None, as_of=None, window=GAP_WINDOW)
     return ids.groupBy("symbol").agg((span - F.countDistinct("trade_id")).alias("missing"))
 
 
-def gap_ranges(trades: DataFrame, symbols=None, as_of=None, window=HEAL_WINDOW, bucket: int = BUCKET) -> DataFrame:
-    """(symbol, gap_start, gap_end, missing) for every hole between two ids of the lookback.
+def gap_ranges(trades: DataFrame, symbols=None, as_of=None, window=HEAL_WINDOW, bucket: int = BUCKET, by=()) -> DataFrame:
+    """(*by, symbol, gap_start, gap_end, missing) for every hole between two ids of the lookback, for each value of ``by`` apart.
 
     Ids are grouped by (symbol, id div bucket): one shuffle, duplicates dropped before it, at most
     ``bucket`` ids per group however hot the symbol. Holes inside a bucket show in its sorted ids.
@@ -34,29 +34,29 @@ def gap_ranges(trades: DataFrame, symbols=None, as_of=None, window=HEAL_WINDOW,
     blocks of ``bucket`` buckets, and the blocks' first and last ids along the symbol. The first id
     of a symbol has no predecessor and never opens a gap.
     """
-    size = int(bucket)
+    size, own = int(bucket), [*by, "symbol"]
     ids = _recent(trades, symbols, as_of, window).select(
-        "symbol", "trade_id", F.expr(f"trade_id div {size}").alias("bucket"))
-    runs = ids.groupBy("symbol", "bucket").agg(F.collect_set("trade_id").alias("ids"))
+        *own, "trade_id", F.expr(f"trade_id div {size}").alias("bucket"))
+    runs = ids.groupBy(*own, "bucket").agg(F.collect_set("trade_id").alias("ids"))
 
-    run = runs.select("symbol", F.array_sort("ids").alias("ids"))
+    run = runs.select(*own, F.array_sort("ids").alias("ids"))
     steps = F.zip_with("ids", F.slice("ids", F.lit(2), F.size("ids")), lambda left, right: F.struct(
         left.alias("before"), right.alias("after")))
-    inside = run.select("symbol", F.inline(F.filter(steps, lambda s: s["after"] - s["before"] > 1)))
+    inside = run.select(*own, F.inline(F.filter(steps, lambda s: s["after"] - s["before"] > 1)))
 
     ends = runs.select(
-        "symbol", "bucket", F.expr(f"bucket div {size}").alias("block"),
-        F.array_min("ids").alias("first"), F.array_max("ids").alias("last")).repartition("symbol", "block")
-    between = ends.select("symbol", F.lag("last").over(
-        Window.partitionBy("symbol", "block").orderBy("bucket")).alias("before"), F.col("first").alias("after"))
+        *own, "bucket", F.expr(f"bucket div {size}").alias("block"),
+        F.array_min("ids").alias("first"), F.array_max("ids").alias("last")).repartition(*own, "block")
+    between = ends.select(*own, F.lag("last").over(
+        Window.partitionBy(*own, "block").orderBy("bucket")).alias("before"), F.col("first").alias("after"))
 
-    blocks = ends.groupBy("symbol", "block").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    across = blocks.select("symbol", F.lag("last").over(
-        Window.partitionBy("symbol").orderBy("block")).alias("before"), F.col("first").alias("after"))
+    blocks = ends.groupBy(*own, "block").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    across = blocks.select(*own, F.lag("last").over(
+        Window.partitionBy(*own).orderBy("block")).alias("before"), F.col("first").alias("after"))
 
     neighbours = inside.unionByName(between).unionByName(across).filter(F.col("after") - F.col("before") > 1)
     return neighbours.select(
-        "symbol", (F.col("before") + 1).alias("gap_start"), (F.col("after") - 1).alias("gap_end"),
+        *own, (F.col("before") + 1).alias("gap_start"), (F.col("after") - 1).alias("gap_end"),
         (F.col("after") - F.col("before") - 1).alias("missing"))
 
 

@@ -22,10 +22,15 @@ def heal(plan: DataFrame, history: DataFrame, span: int = SPAN) -> DataFrame:
     gaps = plan.filter("action = 'HEAL'").select("symbol", "gap_start", "gap_end")
     first, last = gaps.agg(F.min("gap_start")).scalar(), gaps.agg(F.max("gap_end")).scalar()
     history = history.filter((F.col("trade_id") >= first) & (F.col("trade_id") <= last))
-    gaps = explode_steps(gaps, "_span", F.expr(f"gap_start div {span}"), F.expr(f"gap_end div {span}"), 1)
+    return rows_in_gaps(gaps, history, span)
+
+
+def rows_in_gaps(gaps: DataFrame, history: DataFrame, span: int = SPAN, by=()) -> DataFrame:
+    """History rows whose id lies in a gap, with the columns ``by`` of the gap: an equi-join on (symbol, id div span)."""
+    opened = explode_steps(gaps, "_span", F.expr(f"gap_start div {span}"), F.expr(f"gap_end div {span}"), 1)
     rows = history.withColumn("_span", F.expr(f"trade_id div {span}"))
     inside = F.col("trade_id").between(F.col("gap_start"), F.col("gap_end"))
-    return rows.join(gaps, ["symbol", "_span"]).filter(inside).select(*history.columns)
+    return rows.join(opened, ["symbol", "_span"]).filter(inside).select(*history.columns, *by)
 
 
 def heal_audit(plan: DataFrame, healed: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ from tapekeeper.schema import (
     STALL_SECONDS, STALLED, SYMBOL_STALL, TRADE_GAP)
 
 
-def check_rows(df: DataFrame, name: str, symbol: Column, bad: Column, status: str, value: Column) -> DataFrame:
+def check_rows(df: DataFrame, name: str, symbol: Column, bad: Column, status: str, value: Column, *more: str) -> DataFrame:
     return df.select(
         F.lit(name).alias("check_name"), symbol.alias("symbol"),
-        F.when(bad, F.lit(status)).otherwise(F.lit(OK)).alias("status"), value.cast("double").alias("value"))
+        F.when(bad, F.lit(status)).otherwise(F.lit(OK)).alias("status"), value.cast("double").alias("value"), *more)
 
 
 def seen_partial(trades: DataFrame) -> DataFrame:

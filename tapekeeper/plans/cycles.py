@@ -3,15 +3,19 @@
 import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tapekeeper.functions.symbols import only_symbols, symbols_frame
+from tapekeeper.functions.time import instant, span
 from tapekeeper.operators.dedup import merge_rows
 from tapekeeper.operators.gaps import gap_ranges, plan_heal
-from tapekeeper.operators.heal import heal, heal_audit, heal_disabled, stamp
-from tapekeeper.operators.health import check_freshness, check_symbol_stalls, check_trade_gaps
+from tapekeeper.operators.heal import heal, heal_audit, heal_disabled, rows_in_gaps, stamp
+from tapekeeper.operators.health import check_freshness, check_rows, check_symbol_stalls, check_trade_gaps
 from tapekeeper.operators.health import seen_partial
 from tapekeeper.operators.peaks import peak_partial
-from tapekeeper.schema import FRESHNESS_SECONDS, GAP_WINDOW, HEAL_WINDOW, STALL_SECONDS
+from tapekeeper.schema import (
+    ALL_SYMBOLS, BACKFILL, BACKFILLED, FRESHNESS, FRESHNESS_SECONDS, GAP_DETECTED, GAP_WINDOW, HEAL_WINDOW, NEVER_SEEN_SECONDS,
+    STALE, STALL_SECONDS, STALLED, SYMBOL_STALL, TRADE_GAP)
 from tapekeeper.sinks.tables import read_seen, write_batch, write_peaks, write_seen
 from tapekeeper.sources.tables import scan_trades
 
@@ -84,3 +88,54 @@ def store_heal(cycle: HealCycle, path: str, peaks_path: str | None = None, seen_
 def healed_view(trades: DataFrame, cycle: HealCycle) -> DataFrame:
     """The tape as read after the healed rows were merged in."""
     return trades if cycle.rows is None else merge_rows(trades, cycle.rows.select(*trades.columns))
+
+
+def run_cycles(trades: DataFrame, history: DataFrame, symbols, first, last, every, freshness=FRESHNESS_SECONDS, stall=STALL_SECONDS,
+               window=HEAL_WINDOW) -> DataFrame:
+    """The check rows, ``checked_at`` included, of a monitor and healer that ran ``every`` so often from ``first`` to ``last``.
+
+    One plan for all cycles, keyed by the cycle's number, instead of a plan for each: a cycle sees the trades up to its time,
+    and looks for gaps in the ``window`` before it. A trade goes to the cycles in whose window it lies, so the work is the tape times
+    window over interval. Newest times are running maxima over one row per symbol and cycle.
+    """
+    spark, micros = trades.sparkSession, F.unix_micros(F.col("trade_time"))
+    start, step, width, end = (int(x) for x in spark.range(1).select(
+        F.unix_micros(instant(first)), F.unix_micros(instant(first) + span(every)) - F.unix_micros(instant(first)),
+        F.unix_micros(instant(first) + span(window)) - F.unix_micros(instant(first)), F.unix_micros(instant(last))).first())
+    cycles = max(0, (end - start) // step + 1)
+    if not cycles:
+        return spark.createDataFrame([], "check_name string, symbol string, status string, value double, checked_at timestamp")
+    time = F.timestamp_micros(F.lit(start) + F.col("cycle") * step)
+    # Of a trade the first cycle that sees it, and the last in whose window it lies.
+    low = F.greatest(F.lit(0), F.ceil((micros - start) / F.lit(float(step)))).cast("long")
+    high = F.least(F.lit(cycles - 1), F.ceil((micros - start + width) / F.lit(float(step))) - 1).cast("long")
+    placed = trades.select("symbol", "trade_id", "trade_time", low.alias("low"), high.alias("high"))
+
+    seen = placed.filter(F.col("low") < cycles).groupBy("symbol", F.col("low").alias("cycle")).agg(F.max("trade_time").alias("newest"))
+    every_cycle = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cycles - 1).cast("long"))).alias("cycle")
+    grid = symbols_frame(spark, symbols).select("symbol", every_cycle)
+    so_far = lambda *keys: F.max("newest").over(Window.partitionBy(*keys).orderBy("cycle"))
+    age = F.coalesce((F.unix_timestamp(time) - F.unix_timestamp("newest")).cast("double"), F.lit(NEVER_SEEN_SECONDS))
+    by_symbol = grid.join(seen, ["symbol", "cycle"], "left").withColumn("newest", so_far("symbol")).withColumn("age", age)
+    overall = spark.range(1).select(every_cycle).join(
+        seen.groupBy("cycle").agg(F.max("newest").alias("newest")), "cycle", "left").withColumn("newest", so_far()).withColumn("age", age)
+
+    looked = only_symbols(placed, symbols).filter(F.col("high") >= F.col("low")).select(
+        "symbol", "trade_id", F.explode(F.sequence("low", "high")).alias("cycle"))
+    gaps = gap_ranges(looked, window=None, by=["cycle"])
+    missing = gaps.groupBy("cycle", "symbol").agg(F.sum("missing").alias("missing"))
+    back = rows_in_gaps(gaps, history.select("symbol", "trade_id"), by=["cycle"]).groupBy("cycle", "symbol").agg(F.count(F.lit(1)).alias("n"))
+    counted = grid.join(missing, ["cycle", "symbol"], "left").join(back, ["cycle", "symbol"], "left").withColumns(
+        {"missing": F.coalesce("missing", F.lit(0)), "n": F.coalesce("n", F.lit(0))})
+    total = counted.groupBy("cycle").agg(F.sum("n").alias("n"))
+
+    def rows(df, name, symbol, bad, status, value):
+        with_time = df.withColumn("checked_at", time)
+        return check_rows(with_time, name, symbol, bad, status, value, "checked_at")
+
+    everybody = F.lit(ALL_SYMBOLS)
+    return (rows(overall, FRESHNESS, everybody, F.col("age") > freshness, STALE, F.col("age"))
+            .unionByName(rows(by_symbol, SYMBOL_STALL, F.col("symbol"), F.col("age") > stall, STALLED, F.col("age")))
+            .unionByName(rows(counted, TRADE_GAP, F.col("symbol"), F.col("missing") > 0, GAP_DETECTED, F.col("missing")))
+            .unionByName(rows(counted.filter("missing > 0"), BACKFILL, F.col("symbol"), F.lit(True), BACKFILLED, F.col("n")))
+            .unionByName(rows(total, BACKFILL, everybody, F.col("n") > 0, BACKFILLED, F.col("n"))))
