@@ -192,6 +192,13 @@ kept AS (
   WHERE rn = 1)
 """
 
+FIXED = """
+fixed_buckets AS (
+  SELECT date_trunc('{unit}', trade_time) AS time, symbol,
+         CAST(sum(CASE WHEN quantity >= 50 THEN price + 1 ELSE price END) AS DOUBLE) / count(*) AS price
+  FROM kept GROUP BY 1, 2)
+"""
+
 MESSAGES = """
 msgs AS (
   SELECT symbol, trade_id, price, quantity, trade_time,
@@ -413,4 +420,21 @@ ORACLES = {
     "stream_dedup": sql("SELECT symbol, count(*) AS rows FROM kept GROUP BY symbol", WINNERS),
     "stored_scan": sql(f"SELECT * FROM trades WHERE {RECENT}"),
     "stored_checks": sql(f"SELECT *, {NOW} AS checked_at FROM ({HEALTH})"),
+    "snapshot_reads": sql("""
+        SELECT symbol, count(*) AS rows, step FROM trades JOIN (VALUES ('staged', 1), ('early', 1), ('committed', 2)) AS s(step, parts)
+        ON trade_id % 2 < parts GROUP BY symbol, step"""),
+    "indexed_range": sql("""
+        SELECT * FROM kept
+        WHERE trade_time BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00'""", WINNERS),
+    "merged_while_streaming": sql("SELECT * FROM kept", WINNERS),
+    "expired_checks": sql("""
+        SELECT * FROM checks WHERE CAST(checked_at AS DATE) >= CAST(TIMESTAMP '2024-02-12 00:00:00' - INTERVAL 30 DAY AS DATE)""", CHECKS),
+    "run_state_gaps": sql("SELECT * FROM gaps", gaps_of("dense")),
+    "run_state_healed": sql("""
+        SELECT symbol, max(trade_id) - min(trade_id) + 1 - count(DISTINCT trade_id) AS missing
+        FROM (SELECT symbol, trade_id FROM dense UNION ALL SELECT symbol, trade_id FROM healed) GROUP BY symbol""",
+        gaps_of("dense"), healed_of("history")),
+    "bucket_state_price": sql("SELECT time, symbol, price FROM fixed_buckets", WINNERS, FIXED.format(unit="minute")),
+    "bucket_state_average": sql(
+        f"SELECT time, symbol, {rolling(60)} AS moving_avg FROM fixed_buckets", WINNERS, FIXED.format(unit="hour")),
 }

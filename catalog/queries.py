@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from catalog import tape
 from catalog.tape import AS_OF, SYMBOLS
 from tapekeeper.functions.values import BANDS, band, percent_of
-from tapekeeper.operators import alerts, dedup, gaps, heal as healing, health, latest, peaks, stats, trend
+from tapekeeper.operators import alerts, buckets, dedup, gaps, heal as healing, health, latest, peaks, runs, stats, trend
 from tapekeeper.functions.time import to_utc_clock
 from tapekeeper.plans.cycles import healed_view, run_heal, run_health, run_stored_health, store_heal
 from tapekeeper.schema import MONEY, TRADE_MESSAGE
-from tapekeeper.sinks import tables, topic
+from tapekeeper.sinks import commits, tables, topic
 from tapekeeper.sources import frames, intake, records
 from tapekeeper.sources.tables import scan_trades
 from tapekeeper.streaming import trades as streaming
@@ -455,8 +455,8 @@ def topic_rows(spark, sf):
 
 # --- sinks and streaming ------------------------------------------------------------------------
 
-# Files that a source table is written out to for streaming, one a batch.
-FILES = 4
+# Parts in which the events arrive, one after the other, and files of a part that a micro-batch takes.
+PARTS, FILES = 4, 8
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -472,19 +472,28 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def trades_stream(spark, folder) -> DataFrame:
-    """A folder of events as a stream of trades, one file per micro-batch."""
+    """A folder of events as a stream of trades."""
     from tapekeeper.sources.tables import read_trades
-    events = read_trades(spark, "parquet", tape.SCHEMAS["events"], path=folder, maxFilesPerTrigger=1)
+    events = read_trades(spark, "parquet", tape.SCHEMAS["events"], path=folder, maxFilesPerTrigger=FILES)
     return tape.redeliver(tape.as_trades(events))
 
 
-def events_by_time(spark, sf, folder, where="true") -> str:
-    """The events written out as a few files, each after the one with the earlier times, as they would have come in."""
-    rows = tape.table(spark, sf, "events").filter(where).withColumn("part", F.expr(
-        f"least({FILES - 1}, datediff(ts, TIMESTAMP_NTZ '2024-01-01 00:00:00') * {FILES} div 30)"))
-    for part in range(FILES):
-        rows.filter(F.col("part") == part).drop("part").coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(folder)
-    return folder
+def arrivals(spark, sf, folder, where="true"):
+    """Writes the events part by part, earlier times first, and yields after each: what has come in so far lies in the folder.
+
+    The parts are equal spans between the first and the last time; events without a time come first. All rows are written.
+    """
+    rows = tape.table(spark, sf, "events").filter(where)
+    total, low, high = rows.agg(F.count(F.lit(1)), F.min("ts"), F.max("ts")).first()
+    share = F.try_divide(F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(low).cast("timestamp")),
+                         F.unix_micros(F.lit(high).cast("timestamp")) - F.unix_micros(F.lit(low).cast("timestamp")))
+    part = F.coalesce(F.least(F.floor(share * PARTS), F.lit(PARTS - 1)), F.lit(0))
+    for number in range(PARTS):
+        mine = rows.withColumn("part", part).filter(F.col("part") == number).drop("part")
+        mine.hint("rebalance").sortWithinPartitions("ts").write.mode("append").parquet(folder)
+        yield number
+    if spark.read.schema(tape.SCHEMAS["events"]).parquet(folder).count() != total:
+        raise RuntimeError("not all events have come in")
 
 
 def drain(stream, out, marks="offsets", **more) -> None:
@@ -493,11 +502,17 @@ def drain(stream, out, marks="offsets", **more) -> None:
     query.awaitTermination()
 
 
+def stream_in(spark, sf, out, source="events", marks="offsets", where="true", **more) -> None:
+    """The events streamed into the stored tables under ``out`` as they arrive, by a stream that stops and goes on."""
+    for _ in arrivals(spark, sf, f"{out}/{source}", where):
+        drain(trades_stream(spark, f"{out}/{source}"), out, marks, **more)
+
+
 @query
 def stream_write(spark, sf):
     """The whole tape through the streaming writer in several batches, read back with duplicates resolved."""
     out = scratch(spark, "stream")
-    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), out)
+    stream_in(spark, sf, out)
     return tables.read_stored(spark, f"{out}/trades")
 
 
@@ -505,7 +520,7 @@ def stream_write(spark, sf):
 def stream_batches(spark, sf):
     """How the streamed tape lies: writers, and whether each wrote more than one batch."""
     out = scratch(spark, "batches")
-    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), out)
+    stream_in(spark, sf, out)
     return scan_trades(spark, f"{out}/trades").agg(
         F.countDistinct("writer").alias("writers"), (F.countDistinct("batch_id") > 1).alias("several_batches"),
         F.count(F.lit(1)).alias("rows"))
@@ -516,7 +531,7 @@ def two_streams(spark, sf):
     """Two streams with checkpoints of their own into one table."""
     out = scratch(spark, "two")
     for number, where in enumerate(("event_id % 2 = 0", "event_id % 2 = 1")):
-        drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events{number}", where)), out, f"offsets{number}")
+        stream_in(spark, sf, out, f"events{number}", f"offsets{number}", where)
     return tables.read_stored(spark, f"{out}/trades")
 
 
@@ -524,9 +539,9 @@ def two_streams(spark, sf):
 def compacted_then_streamed(spark, sf):
     """A compacted table that a fresh stream goes on writing to."""
     out = scratch(spark, "compacted")
-    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/early", "event_id % 3 = 0")), f"{out}/old")
+    stream_in(spark, sf, f"{out}/old", where="event_id % 3 = 0")
     tables.compact(spark, f"{out}/old/trades", f"{out}/trades")
-    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/late", "event_id % 3 <> 0")), out)
+    stream_in(spark, sf, out, where="event_id % 3 <> 0")
     return tables.read_stored(spark, f"{out}/trades")
 
 
@@ -564,7 +579,7 @@ def stream_peaks(spark, sf):
     """The peak table after seeding it and streaming the whole tape past it."""
     out = scratch(spark, "peaks")
     tables.seed_peaks(_seed(spark, sf), f"{out}/peaks")
-    drain(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), out, peaks_path=f"{out}/peaks")
+    stream_in(spark, sf, out, peaks_path=f"{out}/peaks")
     return tables.read_peaks(spark, f"{out}/peaks")
 
 
@@ -583,9 +598,10 @@ def reseeded_peaks(spark, sf):
 def stream_dedup(spark, sf):
     """Rows per symbol after the bounded streaming dedup, its state evicted as the batches pass."""
     out = scratch(spark, "dedup")
-    kept = streaming.dedup_stream(trades_stream(spark, events_by_time(spark, sf, f"{out}/events")), "1 day")
-    (kept.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/offsets")
-         .trigger(availableNow=True).start().awaitTermination())
+    for _ in arrivals(spark, sf, f"{out}/events"):
+        kept = streaming.dedup_stream(trades_stream(spark, f"{out}/events"), "1 day")
+        (kept.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/offsets")
+             .trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(f"{out}/rows").groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -635,3 +651,110 @@ def stored_checks(spark, sf):
     cycle = run_health(tape.dense_trades(spark, sf), SYMBOLS, AS_OF, 120, 3600, WHOLE)
     tables.append_checks(cycle, out, AS_OF)
     return tables.read_checks(spark, out)
+
+
+# --- committed tables and states kept beside them -------------------------------------------------
+
+@query
+def snapshot_reads(spark, sf):
+    """What readers see while two batches are written: rows by symbol before, between and after, and in a snapshot opened early."""
+    out = scratch(spark, "snapshots")
+    rows = tape.trades(spark, sf)
+    halves = [rows.filter("trade_id % 2 = 0"), rows.filter("trade_id % 2 = 1")]
+    commits.commit_batch(halves[0], out, "load", 0)
+    early = commits.snapshot(spark, out)
+    staged = commits.stage(halves[1], out, "load", 1)
+    seen = {"staged": commits.snapshot(spark, out)}
+    commits.commit(staged, out, "load", 1)
+    commits.commit_batch(halves[1], out, "load", 1)  # replayed: already there
+    commits.fold(spark, out)
+    seen |= {"committed": commits.snapshot(spark, out), "early": early}
+    steps = [s.scan().groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")).withColumn("step", F.lit(step)) for step, s in seen.items()]
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+@query
+def indexed_range(spark, sf):
+    """A range of a committed, folded tape; only files of its days are opened."""
+    out = scratch(spark, "indexed")
+    commits.commit_batch(tape.trades(spark, sf), out, "load")
+    commits.fold(spark, out)
+    return commits.snapshot(spark, out, low="2024-01-10 06:00:00", high="2024-01-20 18:30:00").read()
+
+
+@query
+def merged_while_streaming(spark, sf):
+    """The whole tape streamed into a committed table whose small batches are merged, and its log folded, between the parts."""
+    out = scratch(spark, "merged")
+    for _ in arrivals(spark, sf, f"{out}/events"):
+        drain(trades_stream(spark, f"{out}/events"), out, committed=True)
+        commits.merge(spark, f"{out}/trades", 2)
+        commits.fold(spark, f"{out}/trades")
+    return commits.snapshot(spark, f"{out}/trades").read()
+
+
+@query
+def expired_checks(spark, sf):
+    """The check log as a committed table, after the days beyond retention were taken out whole."""
+    out = scratch(spark, "expired")
+    commits.commit_batch(tape.check_log(spark, sf), out, "monitor", table=commits.CHECK_TABLE)
+    commits.fold(spark, out)
+    commits.expire(spark, out, "2024-02-12 00:00:00", 30)
+    return commits.snapshot(spark, out, table=commits.CHECK_TABLE).read()
+
+
+def _runs_written(spark, sf, out) -> None:
+    """The dense tape's runs of ids, written as three batches out of order and one of them twice."""
+    rows = tape.dense_trades(spark, sf)
+    for batch in (2, 0, 1, 0):
+        mine = rows.filter(F.pmod(F.xxhash64("symbol", "trade_id"), F.lit(3)) == batch)
+        tables.write_runs(runs.id_runs(mine), out, "load" if batch else f"again-{uuid.uuid4().hex}", batch)
+
+
+@query
+def run_state_gaps(spark, sf):
+    """The gaps of the whole tape from its runs of ids, which came in batches out of order and twice."""
+    out = scratch(spark, "runs")
+    _runs_written(spark, sf, out)
+    return runs.gaps_between(tables.read_runs(spark, out))
+
+
+@query
+def run_state_healed(spark, sf):
+    """Ids still missing by the state of runs after a healing cycle that took its gaps from the state."""
+    out = scratch(spark, "healed-runs")
+    _runs_written(spark, sf, f"{out}/runs")
+    tables.compact_runs(spark, f"{out}/runs", f"{out}/compact")
+    cycle = run_heal(tape.dense_trades(spark, sf), tape.history(spark, sf), SYMBOLS, AS_OF, runs=tables.read_runs(spark, f"{out}/compact"))
+    store_heal(cycle, f"{out}/trades", runs_path=f"{out}/compact")
+    return runs.missing_in(tables.read_runs(spark, f"{out}/compact"))
+
+
+def _bucket_state(spark, sf, out) -> None:
+    """Minute sums refreshed after each of two batches, a correction of some prices, and a merge."""
+    rows = tape.trades(spark, sf)
+    fixed = rows.filter("quantity >= 50").withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")).withColumn(
+        "price", F.col("price") + F.lit(1).cast(MONEY))
+    for number, batch in enumerate((rows.filter("trade_id % 3 = 0"), rows.filter("trade_id % 3 <> 0"), fixed)):
+        commits.commit_batch(batch, f"{out}/trades", "load", number)
+        buckets.refresh_buckets(spark, f"{out}/trades", f"{out}/state")
+    commits.merge(spark, f"{out}/trades", 2)
+    buckets.refresh_buckets(spark, f"{out}/trades", f"{out}/state")
+
+
+@query
+def bucket_state_price(spark, sf):
+    """Mean price per minute from the state of sums, each trade counted once in its last version."""
+    out = scratch(spark, "buckets")
+    _bucket_state(spark, sf, out)
+    return buckets.price_from_buckets(buckets.read_buckets(spark, f"{out}/state"))
+
+
+@query
+def bucket_state_average(spark, sf):
+    """The rolling mean of hours from the state of sums."""
+    out = scratch(spark, "bucket-average")
+    _bucket_state(spark, sf, out)
+    hours = buckets.price_from_buckets(buckets.read_buckets(spark, f"{out}/state"), "hour")
+    rows = trend.rolling_means(hours, [60]).select("time", "symbol", F.col("ma_60").alias("moving_avg"))
+    return rounded(rows, "moving_avg")

@@ -21,7 +21,12 @@ def minute_price(trades: DataFrame, unit: str = "minute") -> DataFrame:
 
 def moving_averages(trades: DataFrame, sizes=MOVING_AVERAGE_SIZES, unit: str = "minute",
                     scale: int = 17) -> DataFrame:
-    """Bucket means with one rolling mean per size, all from a single sort.
+    """Bucket means with one rolling mean per size: ``rolling_means`` over the trades' buckets."""
+    return rolling_means(minute_price(trades, unit), sizes, scale)
+
+
+def rolling_means(buckets: DataFrame, sizes=MOVING_AVERAGE_SIZES, scale: int = 17) -> DataFrame:
+    """Buckets (time, symbol, price) with one rolling mean per size, all from a single sort.
 
     Each frame is the current bucket and the N before it, so N+1 rows. Frames count buckets:
     silent buckets are not filled in, the first N are partial, and buckets without a price count for nothing. Trades are reduced to buckets
@@ -35,7 +40,7 @@ def moving_averages(trades: DataFrame, sizes=MOVING_AVERAGE_SIZES, unit: str = "
     money = T.DecimalType(27, scale)  # summed (37) and subtracted (38), it keeps every digit
     total = F.sum(F.col("price").cast(money)).over(w.rowsBetween(Window.unboundedPreceding, 0))
     filled = F.count("price").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    buckets = minute_price(trades, unit).withColumns({"_total": F.coalesce(total, F.lit(0).cast(money)), "_filled": filled})
+    buckets = buckets.withColumns({"_total": F.coalesce(total, F.lit(0).cast(money)), "_filled": filled})
     means = {}
     for n in sizes:
         earlier = F.coalesce(F.lag("_total", n + 1).over(w), F.lit(0).cast(money))

@@ -13,10 +13,11 @@ from tapekeeper.operators.heal import heal, heal_audit, heal_disabled, rows_in_g
 from tapekeeper.operators.health import check_freshness, check_rows, check_symbol_stalls, check_trade_gaps
 from tapekeeper.operators.health import seen_partial
 from tapekeeper.operators.peaks import peak_partial
+from tapekeeper.operators.runs import gaps_between, id_runs
 from tapekeeper.schema import (
     ALL_SYMBOLS, BACKFILL, BACKFILLED, FRESHNESS, FRESHNESS_SECONDS, GAP_DETECTED, GAP_WINDOW, HEAL_WINDOW, NEVER_SEEN_SECONDS,
     STALE, STALL_SECONDS, STALLED, SYMBOL_STALL, TRADE_GAP)
-from tapekeeper.sinks.tables import read_seen, write_batch, write_peaks, write_seen
+from tapekeeper.sinks.tables import read_seen, write_batch, write_peaks, write_runs, write_seen
 from tapekeeper.sources.tables import scan_trades
 
 
@@ -48,17 +49,19 @@ class HealCycle(NamedTuple):
 
 
 def run_heal(trades: DataFrame, history: DataFrame | None, symbols=None, as_of=None, window=HEAL_WINDOW,
-             max_gap: int | None = None, pin: bool | None = None) -> HealCycle:
+             max_gap: int | None = None, pin: bool | None = None, runs: DataFrame | None = None) -> HealCycle:
     """Find gaps, fetch their rows from history and audit it. No history: DISABLED. Wider gaps than ``max_gap``, if set, are skipped.
 
     ``pin`` writes the plan to the session's checkpoint folder (the default where one is set), so
     that rows and audit, run one after the other, agree on a tape that keeps growing, gaps are
-    searched once, and the join with the history knows how few they are.
+    searched once, and the join with the history knows how few they are. Whoever owns that folder clears it. With ``runs``, the
+    merged state of ids, gaps of any age come from it, and the trades and the window are not looked at.
     """
     spark, cycle = trades.sparkSession, uuid.uuid4().hex
     if history is None:
         return HealCycle(None, None, heal_disabled(spark), cycle)
-    plan = plan_heal(gap_ranges(trades, symbols, as_of, window), max_gap)
+    gaps = gap_ranges(trades, symbols, as_of, window) if runs is None else gaps_between(only_symbols(runs, symbols))
+    plan = plan_heal(gaps, max_gap)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if pin and not folder:
         raise ValueError("set spark.checkpoint.dir to pin the plan of a healing cycle")
@@ -69,8 +72,9 @@ def run_heal(trades: DataFrame, history: DataFrame | None, symbols=None, as_of=N
     return HealCycle(plan, stamp(healed, as_of), heal_audit(plan, healed), cycle)
 
 
-def store_heal(cycle: HealCycle, path: str, peaks_path: str | None = None, seen_path: str | None = None) -> None:
-    """Write a cycle's rows beside all that is stored, and fold their peaks and newest times.
+def store_heal(cycle: HealCycle, path: str, peaks_path: str | None = None, seen_path: str | None = None,
+               runs_path: str | None = None) -> None:
+    """Write a cycle's rows beside all that is stored, and fold their peaks, newest times and runs of ids.
 
     Each cycle is a writer of its own, so no cycle replaces another's rows; storing the same cycle
     again replaces just its own.
@@ -83,6 +87,8 @@ def store_heal(cycle: HealCycle, path: str, peaks_path: str | None = None, seen_
         write_peaks(peak_partial(cycle.rows), peaks_path, writer)
     if seen_path is not None:
         write_seen(seen_partial(cycle.rows), seen_path, writer)
+    if runs_path is not None:
+        write_runs(id_runs(cycle.rows), runs_path, writer)
 
 
 def healed_view(trades: DataFrame, cycle: HealCycle) -> DataFrame:

@@ -53,6 +53,13 @@ SEEN = T.StructType([
     T.StructField("newest", T.TimestampType()),
 ])
 
+# Maximal runs of ids that a tape has: partial sets, merged by adjacency.
+RUNS = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("first_id", T.LongType()),
+    T.StructField("last_id", T.LongType()),
+])
+
 CHECKS = T.StructType([
     T.StructField("check_name", T.StringType()),
     T.StructField("symbol", T.StringType()),

@@ -134,7 +134,8 @@ def stage(rows: DataFrame, path: str, writer: str, batch_id: int = 0, level: int
     """
     spark, name = rows.sparkSession, new_writer("commit")
     origin = {} if "writer" in rows.columns else {"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")}
-    placed = rows.withColumns(origin).select(*table.schema.names, "writer", "batch_id",
+    placed = rows.withColumns(origin).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields], "writer", "batch_id",
         F.coalesce(utc_day(F.col(table.time)), F.lit(NO_DAY)).alias("day"))
     plain_timestamps(spark)
     placed.hint("rebalance", "day").sortWithinPartitions("day", *table.key).write.partitionBy("day").parquet(f"{path}/data/{name}")

@@ -14,7 +14,8 @@ from tapekeeper.operators.alerts import retain
 from tapekeeper.operators.dedup import dedup_latest
 from tapekeeper.operators.health import seen_merge
 from tapekeeper.operators.peaks import peak_merge
-from tapekeeper.schema import CHECKS, KEY, PEAKS, RETENTION_DAYS, SEEN, STORED_CHECKS, STORED_TRADES, TRADES
+from tapekeeper.operators.runs import merge_runs
+from tapekeeper.schema import CHECKS, KEY, PEAKS, RETENTION_DAYS, RUNS, SEEN, STORED_CHECKS, STORED_TRADES, TRADES
 
 
 def new_writer(kind: str) -> str:
@@ -111,6 +112,21 @@ def read_seen(spark: SparkSession, path: str) -> DataFrame:
     return seen_merge(spark.read.schema(SEEN).parquet(path))
 
 
+def write_runs(runs: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
+    """Add id runs of one block of trades to the state table."""
+    overwrite_batch(runs.select(*RUNS.names), path, writer, batch_id)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Maximal id runs per symbol: the only way to read the state table."""
+    return merge_runs(spark.read.schema(RUNS).parquet(path))
+
+
+def compact_runs(spark: SparkSession, path: str, target: str) -> None:
+    """Rewrite the state table to a new place with maximal runs only."""
+    write_runs(read_runs(spark, path), target, new_writer("compact"))
+
+
 def append_checks(checks: DataFrame, path: str, as_of=None) -> None:
     """Append check rows to the log, stamped with one time, one folder per UTC day."""
     rows = checks.withColumn("checked_at", instant(as_of)).select(*CHECKS.names)
