@@ -437,4 +437,15 @@ ORACLES = {
     "bucket_state_price": sql("SELECT time, symbol, price FROM fixed_buckets", WINNERS, FIXED.format(unit="minute")),
     "bucket_state_average": sql(
         f"SELECT time, symbol, {rolling(60)} AS moving_avg FROM fixed_buckets", WINNERS, FIXED.format(unit="hour")),
+    "live_peaks": sql("""
+        SELECT symbol, max(peak) AS peak FROM (
+          SELECT * FROM seed UNION ALL SELECT symbol, CAST(max(price) AS DOUBLE) FROM trades GROUP BY symbol)
+        GROUP BY symbol""", DAILY),
+    "stream_progress": "SELECT CAST(1 AS BIGINT) AS queries, count(*) AS events, TRUE AS several_batches FROM events",
+    "versioned_messages": sql("""
+        SELECT CASE WHEN ok THEN symbol END AS symbol, CASE WHEN ok THEN event_id END AS trade_id, CASE WHEN ok THEN price END AS price,
+               CASE WHEN ok THEN CASE WHEN symbol = 'SIGNUP' THEN 0 ELSE quantity END END AS quantity,
+               CASE WHEN ok THEN trade_time END AS trade_time,
+               CASE WHEN NOT ok THEN 'schema refused: trade_time is string instead of long' END AS reason
+        FROM (SELECT *, symbol <> 'ERROR' AS ok FROM ev)"""),
 }

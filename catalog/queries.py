@@ -17,7 +17,7 @@ from tapekeeper.functions.time import to_utc_clock
 from tapekeeper.plans.cycles import healed_view, run_heal, run_health, run_stored_health, store_heal
 from tapekeeper.schema import MONEY, TRADE_MESSAGE
 from tapekeeper.sinks import commits, tables, topic
-from tapekeeper.sources import frames, intake, records
+from tapekeeper.sources import frames, intake, records, versions
 from tapekeeper.sources.tables import scan_trades
 from tapekeeper.streaming import trades as streaming
 
@@ -758,3 +758,55 @@ def bucket_state_average(spark, sf):
     hours = buckets.price_from_buckets(buckets.read_buckets(spark, f"{out}/state"), "hour")
     rows = trend.rolling_means(hours, [60]).select("time", "symbol", F.col("ma_60").alias("moving_avg"))
     return rounded(rows, "moving_avg")
+
+
+@query
+def live_peaks(spark, sf):
+    """The peak table after seeding it and a streaming aggregate over the whole tape that stopped and went on with its state."""
+    out = scratch(spark, "live-peaks")
+    tables.seed_peaks(_seed(spark, sf), f"{out}/peaks")
+    for _ in arrivals(spark, sf, f"{out}/events"):
+        streaming.write_live_peaks(trades_stream(spark, f"{out}/events"), f"{out}/peaks", f"{out}/offsets", None).awaitTermination()
+    return tables.read_peaks(spark, f"{out}/peaks")
+
+
+@query
+def stream_progress(spark, sf):
+    """What the stored table of progress says of a stream of the whole tape: queries, events taken, whether in several batches."""
+    out = scratch(spark, "progress")
+    for _ in arrivals(spark, sf, f"{out}/events"):
+        query = streaming.write_trades(trades_stream(spark, f"{out}/events"), f"{out}/trades", f"{out}/offsets", flush=None)
+        query.awaitTermination()
+        streaming.append_progress(spark, query, f"{out}/progress")
+    return streaming.read_progress(spark, f"{out}/progress").agg(
+        F.countDistinct("query_id").alias("queries"), F.sum("input_rows").alias("events"),
+        (F.count_if(F.col("input_rows") > 0) > 1).alias("several_batches"))
+
+
+# Record schemas of four writers: without quantity, as the contract, with more and narrower, and with another type of time.
+def _record(*kinds) -> str:
+    import json
+    return json.dumps({"type": "record", "name": "Trade", "fields": [
+        {"name": name, "type": kind, **({"default": default[0]} if default else {})} for name, kind, *default in kinds]})
+
+
+READER = _record(("symbol", "string"), ("trade_id", "long"), ("price", "string"), ("quantity", "string", "0"), ("trade_time", "long"))
+WRITERS = {
+    1: _record(("symbol", "string"), ("trade_id", "long"), ("price", "string"), ("trade_time", "long")),
+    2: READER,
+    3: _record(("venue", "string"), ("symbol", "string"), ("trade_id", "int"), ("price", "string"), ("quantity", "string"), ("trade_time", "long")),
+    4: _record(("symbol", "string"), ("trade_id", "long"), ("price", "string"), ("quantity", "string"), ("trade_time", "string")),
+}
+
+
+@query
+def versioned_messages(spark, sf):
+    """Events as messages of four schema versions by their type: three are read as one, the fourth is refused and says why."""
+    ev = tape.as_trades(tape.table(spark, sf, "events"))
+    number = F.when(F.col("symbol") == "SIGNUP", 1).when(F.col("symbol") == "PURCHASE", 3).when(F.col("symbol") == "ERROR", 4).otherwise(2)
+    quantity = F.when(number != 1, F.col("quantity").cast("string"))  # to_json leaves nulls out
+    body = F.to_json(F.struct("symbol", "trade_id", F.col("price").cast("string").alias("price"), quantity.alias("quantity"),
+                              F.unix_millis("trade_time").alias("trade_time"), F.when(number == 3, F.lit("x")).alias("venue")))
+    header = F.unhex(F.concat(F.lit("0000000"), number.cast("string")))
+    value = F.concat(F.unhex(F.lit("00")), header, F.encode(body, "UTF-8"))
+    return versions.decode_versions(ev.select(value.alias("value")), WRITERS, READER, set_aside=True).drop("raw")

@@ -14,6 +14,8 @@ from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_peaks, w
 from tapekeeper.sources.intake import REASON, split_valid
 
 
+PROGRESS = "query_id string, batch_id bigint, at timestamp, input_rows bigint, millis bigint, behind bigint"
+
 # Fixed value: where Spark keeps the running stream's id.
 QUERY_ID = "sql.streaming.queryId"
 
@@ -65,6 +67,48 @@ def peak_stream(stream: DataFrame) -> DataFrame:
     return peak_partial(stream)
 
 
+def write_live_peaks(stream: DataFrame, path: str, checkpoint: str, flush: str | None = "2 seconds") -> StreamingQuery:
+    """The peak as a streaming aggregate in update mode: the state holds a number per symbol, and each batch writes the peaks it raised
+    or saw as partials. A query that stops goes on from its state; a replayed batch replaces its own partials."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_peaks(batch, path, f"live-{batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)}", batch_id)
+
+    writer = peak_stream(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if flush is None else writer.trigger(processingTime=flush)).start()
+
+
+def append_progress(spark: SparkSession, query: StreamingQuery, path: str) -> None:
+    """Adds what a query still knows of its recent batches to a stored table: (query_id, batch_id, at, input_rows, millis, behind).
+
+    ``behind`` is how many messages the source had beyond the batch, over all partitions; null for sources without such offsets. Call it now and
+    then while a query runs, or when it has ended; a batch may come more than once.
+    """
+    rows = []
+    for progress in query.recentProgress:
+        told = json.loads(progress.json)
+        ends = [(_offsets(s.get("endOffset")), _offsets(s.get("latestOffset"))) for s in told.get("sources", [])]
+        behind = [sum(latest.values()) - sum(end.get(k, 0) for k in latest) for end, latest in ends if latest]
+        rows.append((told["id"], told["batchId"], told["timestamp"], told["numInputRows"], told.get("batchDuration"), sum(behind) if behind else None))
+    listed = spark.createDataFrame(rows, "query_id string, batch_id bigint, at string, input_rows bigint, millis bigint, behind bigint")
+    listed.withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Each batch once, as last told."""
+    rows = spark.read.schema(PROGRESS).parquet(path)
+    last = rows.groupBy("query_id", "batch_id").agg(F.max(F.struct("input_rows", "at", "millis", "behind")).alias("last"))
+    return last.select("query_id", "batch_id", "last.*")
+
+
+def _offsets(offset) -> dict:
+    """(topic, partition) -> offset of a source that counts so; empty for others."""
+    found = json.loads(offset) if isinstance(offset, str) else offset
+    if not isinstance(found, dict) or not all(isinstance(parts, dict) for parts in found.values()):
+        return {}
+    return {(topic, part): at for topic, parts in found.items() for part, at in parts.items()}
+
+
 def dedup_stream(stream: DataFrame, delay: str) -> DataFrame:
     """Drops repeats of a trade that arrive within ``delay`` of it, with state bounded by that delay.
 
