@@ -286,6 +286,12 @@ ORACLES = {
         SELECT symbol, gap_start, gap_end, unnest(generate_series(gap_start, gap_end, 2)) AS from_id FROM gaps""",
         gaps_of("dense")),
     "heal": sql("SELECT * FROM healed", gaps_of("dense"), healed_of("history")),
+    "indexed_heal": sql("SELECT * FROM healed", gaps_of("dense"), healed_of("history")),
+    "indexed_order_heal": sql("SELECT * EXCLUDE (ingested_at) FROM healed", ORDERS, gaps_of("lines"), healed_of("fetched")),
+    "latency_state": sql("""
+        SELECT CAST(ingested_at AS DATE) AS day, count(*) AS events, max(epoch_ms(ingested_at) - epoch_ms(trade_time)) AS max_ms,
+               TRUE AS p50_ms_holds, TRUE AS p95_ms_holds, TRUE AS p99_ms_holds
+        FROM trades WHERE CAST(ingested_at AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-27' GROUP BY 1"""),
     "order_heal": sql("SELECT * FROM healed", ORDERS, gaps_of("lines"), healed_of("fetched")),
     "heal_audit": sql("SELECT * FROM audit", gaps_of("dense"), audit_of("TRUE")),
     "heal_cycle": sql("SELECT * FROM audit", gaps_of("dense", WHOLE), audit_of("TRUE")),

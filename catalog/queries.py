@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from catalog import tape
 from catalog.tape import AS_OF, SYMBOLS
 from tapekeeper.functions.values import BANDS, band, percent_of
-from tapekeeper.operators import alerts, buckets, dedup, gaps, heal as healing, health, latest, peaks, runs, stats, trend
+from tapekeeper.operators import alerts, buckets, dedup, gaps, heal as healing, health, latest, peaks, runs, sketches, stats, trend
 from tapekeeper.functions.time import to_utc_clock
 from tapekeeper.plans.cycles import healed_view, run_heal, run_health, run_stored_health, store_heal
 from tapekeeper.schema import MONEY, TRADE_MESSAGE
 from tapekeeper.sinks import commits, tables, topic
+from tapekeeper.sinks.history import StoredHistory
 from tapekeeper.sources import frames, intake, records, versions
 from tapekeeper.sources.tables import scan_trades
 from tapekeeper.streaming import trades as streaming
@@ -760,6 +761,50 @@ def bucket_state_average(spark, sf):
     return rounded(rows, "moving_avg")
 
 
+@query
+def latency_state(spark, sf):
+    """Write latency per day from sketches that a stream left and a compaction merged: exact counts and maxima, and whether each
+    percentile's rank among the day's rows is as wanted but for the stated rank error."""
+    out = scratch(spark, "latency")
+    stream_in(spark, sf, out, latency_path=f"{out}/latency")
+    tables.compact_latency(spark, f"{out}/latency", f"{out}/packed")
+    found = sketches.latency_of(tables.read_latency(spark, f"{out}/packed", "2024-01-03", "2024-01-27"), "day")
+    raw = tape.trades(spark, sf).select(F.to_date("ingested_at").alias("day"), stats.latency_ms().alias("lat"))
+    names = {q: f"p{round(q * 100)}_ms" for q in stats.QUANTILES}
+    ranks = raw.join(found, "day").groupBy("day", "events", "max_ms", *names.values()).agg(*[
+        F.count_if(side).alias(f"{end}_{name}") for name in names.values()
+        for end, side in (("below", F.col("lat") < F.col(name)), ("upto", F.col("lat") <= F.col(name)))])
+    slack = F.col("events") * F.lit(sketches.RANK_ERROR) + 1
+    return ranks.select("day", "events", "max_ms", *[
+        ((F.col(f"below_{name}") <= F.col("events") * q + slack) & (F.col(f"upto_{name}") >= F.col("events") * q - slack)).alias(f"{name}_holds")
+        for q, name in names.items()])
+
+
+# Rows of a file of the stored histories here, small so that the given tables fill several.
+HISTORY_ROWS = 2048
+
+
+@query
+def indexed_heal(spark, sf):
+    """The rows that fill the dense tape's gaps, from a history laid out for lookups that came in two overlapping loads."""
+    stored = StoredHistory(spark, scratch(spark, "history"))
+    rows = tape.history(spark, sf)
+    for part in (rows.filter("quantity < 60"), rows.filter("quantity >= 40")):
+        stored.load(part, HISTORY_ROWS)
+    return stored.fill(_plan(spark, sf))
+
+
+@query
+def indexed_order_heal(spark, sf):
+    """Order lines' gaps filled from an indexed history in a healing cycle that takes its gaps from the state of runs."""
+    out = scratch(spark, "order-history")
+    lines, stored = tape.order_tape(spark, sf), StoredHistory(spark, f"{out}/history")
+    stored.load(tape.order_history(spark, sf), HISTORY_ROWS)
+    tables.write_runs(runs.id_runs(lines), f"{out}/runs", "load")
+    cycle = run_heal(lines, stored, runs=tables.read_runs(spark, f"{out}/runs"))
+    return cycle.rows.drop("ingested_at")
+
+
 @query
 def live_peaks(spark, sf):
     """The peak table after seeding it and a streaming aggregate over the whole tape that stopped and went on with its state."""

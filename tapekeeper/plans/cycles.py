@@ -17,6 +17,7 @@ from tapekeeper.operators.runs import gaps_between, id_runs
 from tapekeeper.schema import (
     ALL_SYMBOLS, BACKFILL, BACKFILLED, FRESHNESS, FRESHNESS_SECONDS, GAP_DETECTED, GAP_WINDOW, HEAL_WINDOW, NEVER_SEEN_SECONDS,
     STALE, STALL_SECONDS, STALLED, SYMBOL_STALL, TRADE_GAP)
+from tapekeeper.sinks.history import StoredHistory
 from tapekeeper.sinks.tables import read_seen, write_batch, write_peaks, write_runs, write_seen
 from tapekeeper.sources.tables import scan_trades
 
@@ -48,14 +49,15 @@ class HealCycle(NamedTuple):
     cycle_id: str = ""        # under which the rows are stored
 
 
-def run_heal(trades: DataFrame, history: DataFrame | None, symbols=None, as_of=None, window=HEAL_WINDOW,
+def run_heal(trades: DataFrame, history: DataFrame | StoredHistory | None, symbols=None, as_of=None, window=HEAL_WINDOW,
              max_gap: int | None = None, pin: bool | None = None, runs: DataFrame | None = None) -> HealCycle:
     """Find gaps, fetch their rows from history and audit it. No history: DISABLED. Wider gaps than ``max_gap``, if set, are skipped.
 
     ``pin`` writes the plan to the session's checkpoint folder (the default where one is set), so
     that rows and audit, run one after the other, agree on a tape that keeps growing, gaps are
     searched once, and the join with the history knows how few they are. Whoever owns that folder clears it. With ``runs``, the
-    merged state of ids, gaps of any age come from it, and the trades and the window are not looked at.
+    merged state of ids, gaps of any age come from it, and the trades and the window are not looked at. A stored history
+    opens only the files that the gaps meet.
     """
     spark, cycle = trades.sparkSession, uuid.uuid4().hex
     if history is None:
@@ -68,7 +70,7 @@ def run_heal(trades: DataFrame, history: DataFrame | None, symbols=None, as_of=N
     if folder and pin is not False:
         plan.write.parquet(f"{folder}/heal-{cycle}")
         plan = spark.read.schema(plan.schema).parquet(f"{folder}/heal-{cycle}")
-    healed = heal(plan, history)
+    healed = history.fill(plan) if isinstance(history, StoredHistory) else heal(plan, history)
     return HealCycle(plan, stamp(healed, as_of), heal_audit(plan, healed), cycle)
 
 

@@ -60,6 +60,14 @@ RUNS = T.StructType([
     T.StructField("last_id", T.LongType()),
 ])
 
+# Latency sketch state: partials of a UTC day of writing, merged on read.
+LATENCY = T.StructType([
+    T.StructField("day", T.DateType()),
+    T.StructField("events", T.LongType()),
+    T.StructField("max_ms", T.LongType()),
+    T.StructField("sketch", T.BinaryType()),
+])
+
 CHECKS = T.StructType([
     T.StructField("check_name", T.StringType()),
     T.StructField("symbol", T.StringType()),

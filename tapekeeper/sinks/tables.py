@@ -15,7 +15,8 @@ from tapekeeper.operators.dedup import dedup_latest
 from tapekeeper.operators.health import seen_merge
 from tapekeeper.operators.peaks import peak_merge
 from tapekeeper.operators.runs import merge_runs
-from tapekeeper.schema import CHECKS, KEY, PEAKS, RETENTION_DAYS, RUNS, SEEN, STORED_CHECKS, STORED_TRADES, TRADES
+from tapekeeper.operators.sketches import merge_latency
+from tapekeeper.schema import CHECKS, KEY, LATENCY, PEAKS, RETENTION_DAYS, RUNS, SEEN, STORED_CHECKS, STORED_TRADES, TRADES
 
 
 def new_writer(kind: str) -> str:
@@ -75,11 +76,12 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     write_batch(read_stored(spark, path), target, new_writer("compact"))
 
 
-def overwrite_batch(rows: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
-    """Write rows as one batch folder of a writer, replacing only that batch."""
+def overwrite_batch(rows: DataFrame, path: str, writer: str, batch_id: int = 0, by=()) -> None:
+    """Write rows as one batch folder of a writer, or one for each value of ``by``, replacing only that batch."""
     plain_timestamps(rows.sparkSession)
     rows = rows.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*by, "writer", "batch_id").parquet(path))
 
 
 def write_peaks(partials: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
@@ -127,6 +129,23 @@ def compact_runs(spark: SparkSession, path: str, target: str) -> None:
     write_runs(read_runs(spark, path), target, new_writer("compact"))
 
 
+def write_latency(partials: DataFrame, path: str, writer: str, batch_id: int = 0) -> None:
+    """Add latency sketches to the state table, a folder per UTC day and batch."""
+    overwrite_batch(partials.select(*LATENCY.names).coalesce(1), path, writer, batch_id, ["day"])
+
+
+def read_latency(spark: SparkSession, path: str, low=None, high=None) -> DataFrame:
+    """The sketches of the UTC days from ``low`` to ``high``, both included, where given; other days are not read."""
+    stored = spark.read.schema(LATENCY).parquet(path)
+    stored = stored if low is None else stored.filter(F.col("day") >= F.lit(low).cast("date"))
+    return stored if high is None else stored.filter(F.col("day") <= F.lit(high).cast("date"))
+
+
+def compact_latency(spark: SparkSession, path: str, target: str) -> None:
+    """Rewrite the state table to a new place with one sketch per day."""
+    write_latency(merge_latency(read_latency(spark, path), "day"), target, new_writer("compact"))
+
+
 def append_checks(checks: DataFrame, path: str, as_of=None) -> None:
     """Append check rows to the log, stamped with one time, one folder per UTC day."""
     rows = checks.withColumn("checked_at", instant(as_of)).select(*CHECKS.names)

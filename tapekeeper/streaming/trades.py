@@ -1,16 +1,19 @@
 """Streaming intake: the effectively-once writer, the live peak, bounded dedup and ingest lag."""
 
 import json
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tapekeeper.functions.time import instant
 from tapekeeper.operators.health import seen_partial
 from tapekeeper.operators.peaks import peak_partial
 from tapekeeper.operators.runs import id_runs
+from tapekeeper.operators.sketches import latency_partial
 from tapekeeper.schema import KEY
 from tapekeeper.sinks.commits import commit_batch
-from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_peaks, write_runs, write_seen
+from tapekeeper.sinks.tables import overwrite_batch, write_batch, write_latency, write_peaks, write_runs, write_seen
 from tapekeeper.sources.intake import REASON, split_valid
 
 
@@ -22,7 +25,8 @@ QUERY_ID = "sql.streaming.queryId"
 
 def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | None = "2 seconds",
                  peaks_path: str | None = None, quarantine_path: str | None = None,
-                 seen_path: str | None = None, committed: bool = False, runs_path: str | None = None) -> StreamingQuery:
+                 seen_path: str | None = None, committed: bool = False, runs_path: str | None = None,
+                 latency_path: str | None = None) -> StreamingQuery:
     """Write a stream of typed trades, one folder per micro-batch, and return the running query.
 
     With ``committed`` the target is a committed table: a batch becomes visible as a whole, and a replayed one, known by writer and
@@ -33,10 +37,10 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
     writer is the query's id, which its checkpoint keeps over restarts: other streams, a fresh
     checkpoint, healing and compaction all write beside it. ``flush`` is the batch interval (None:
     drain what is there, then stop); batch size is set on the source. With ``peaks_path`` each batch
-    also leaves its peak partials, with ``seen_path`` its newest times, with ``runs_path`` its runs of ids, with ``quarantine_path`` its
-    unusable rows. No watermark: rows may arrive at any age.
+    also leaves its peak partials, with ``seen_path`` its newest times, with ``runs_path`` its runs of ids, with ``latency_path`` its sketches of
+    write latency, with ``quarantine_path`` its unusable rows. No watermark: rows may arrive at any age.
     """
-    several = any(p is not None for p in (peaks_path, quarantine_path, seen_path, runs_path))
+    several = any(p is not None for p in (peaks_path, quarantine_path, seen_path, runs_path, latency_path))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
@@ -44,6 +48,8 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
             batch = batch.persist()  # read once per target; lost blocks are recomputed from the source
         try:
             good, bad = split_valid(batch) if REASON in batch.columns else (batch, None)
+            if latency_path is not None and "ingested_at" not in good.columns:
+                good = good.withColumn("ingested_at", instant(datetime.now(timezone.utc)))  # one time for rows and latency
             (commit_batch if committed else write_batch)(good, path, writer, batch_id)
             if peaks_path is not None:
                 write_peaks(peak_partial(good), peaks_path, writer, batch_id)
@@ -51,6 +57,8 @@ def write_trades(stream: DataFrame, path: str, checkpoint: str, flush: str | Non
                 write_seen(seen_partial(good), seen_path, writer, batch_id)
             if runs_path is not None:
                 write_runs(id_runs(good), runs_path, writer, batch_id)
+            if latency_path is not None:
+                write_latency(latency_partial(good), latency_path, writer, batch_id)
             if quarantine_path is not None and bad is not None:
                 overwrite_batch(bad, quarantine_path, writer, batch_id)
         finally:
