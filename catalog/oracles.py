@@ -288,6 +288,8 @@ ORACLES = {
     "heal": sql("SELECT * FROM healed", gaps_of("dense"), healed_of("history")),
     "indexed_heal": sql("SELECT * FROM healed", gaps_of("dense"), healed_of("history")),
     "indexed_order_heal": sql("SELECT * EXCLUDE (ingested_at) FROM healed", ORDERS, gaps_of("lines"), healed_of("fetched")),
+    "closed_batches": sql("""
+        SELECT source, CAST(count(*) AS BIGINT) AS rows, TRUE AS closed_as_bound FROM trades, (VALUES ('fast'), ('slow')) s(source) GROUP BY 1"""),
     "latency_state": sql("""
         SELECT CAST(ingested_at AS DATE) AS day, count(*) AS events, max(epoch_ms(ingested_at) - epoch_ms(trade_time)) AS max_ms,
                TRUE AS p50_ms_holds, TRUE AS p95_ms_holds, TRUE AS p99_ms_holds

@@ -7,7 +7,7 @@ and return a DataFrame over what was written.
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from catalog import tape
 from catalog.tape import AS_OF, SYMBOLS
@@ -16,7 +16,7 @@ from tapekeeper.operators import alerts, buckets, dedup, gaps, heal as healing,
 from tapekeeper.functions.time import to_utc_clock
 from tapekeeper.plans.cycles import healed_view, run_heal, run_health, run_stored_health, store_heal
 from tapekeeper.schema import MONEY, TRADE_MESSAGE
-from tapekeeper.sinks import commits, tables, topic
+from tapekeeper.sinks import closing, commits, tables, topic
 from tapekeeper.sinks.history import StoredHistory
 from tapekeeper.sources import frames, intake, records, versions
 from tapekeeper.sources.tables import scan_trades
@@ -503,6 +503,11 @@ def drain(stream, out, marks="offsets", **more) -> None:
     query.awaitTermination()
 
 
+def query_of(spark, checkpoint) -> str:
+    """The id of the stream that a checkpoint belongs to."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def stream_in(spark, sf, out, source="events", marks="offsets", where="true", **more) -> None:
     """The events streamed into the stored tables under ``out`` as they arrive, by a stream that stops and goes on."""
     for _ in arrivals(spark, sf, f"{out}/{source}", where):
@@ -694,6 +699,32 @@ def merged_while_streaming(spark, sf):
     return commits.snapshot(spark, f"{out}/trades").read()
 
 
+@query
+def closed_batches(spark, sf):
+    """The whole tape into two committed tables: a fast source whose batches close on rows, and a slow one whose batches close on time.
+    For each: rows visible in the end, and whether its batches closed as they should."""
+    out = scratch(spark, "closed")
+    part = tape.table(spark, sf, "events").count() // PARTS
+    bounds = {"fast": (part * 3 // 2, 3600.0), "slow": (1 << 60, 0.0)}
+    for _ in arrivals(spark, sf, f"{out}/events"):
+        for name, (rows, within) in bounds.items():
+            query = streaming.write_closing(trades_stream(spark, f"{out}/events"), f"{out}/{name}", f"{out}/{name}-offsets", rows, within, None)
+            query.awaitTermination()
+    closing.close_waiting(spark, f"{out}/fast", query_of(spark, f"{out}/fast-offsets"))
+    found = []
+    for name, (bound, _) in bounds.items():
+        batches = commits.entries(spark, f"{out}/{name}").groupBy("batch_id").agg(F.sum("rows").alias("rows"))
+        # Of the fast source all batches but the last hold the bound's rows; of the slow one each micro-batch is a batch.
+        last = F.max("batch_id").over(Window.partitionBy())
+        full = (F.col("rows") >= bound) | (F.col("batch_id") == last) if name == "fast" else F.col("rows") < bound
+        steps = commits.snapshot(spark, f"{out}/{name}").scan().agg(F.countDistinct("batch_id")).scalar()
+        whole = batches.select("rows", full.alias("full")).agg(
+            F.sum("rows").alias("rows"), F.every("full").alias("full"), F.count(F.lit(1)).alias("batches"))
+        fewer = F.col("batches") < steps if name == "fast" else F.col("batches") == steps
+        found.append(whole.select(F.lit(name).alias("source"), "rows", (F.col("full") & fewer).alias("closed_as_bound")))
+    return found[0].unionByName(found[1])
+
+
 @query
 def expired_checks(spark, sf):
     """The check log as a committed table, after the days beyond retention were taken out whole."""

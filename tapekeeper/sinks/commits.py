@@ -126,6 +126,13 @@ def is_committed(spark: SparkSession, path: str, writer: str, batch_id: int) ->
     return not indexed.isEmpty() or not logged.isEmpty()
 
 
+def last_batch(spark: SparkSession, path: str, writer: str) -> int:
+    """The number of the writer's last batch in the table, -1 if there is none."""
+    at = head(spark, path)
+    known = _folded(spark, path, at).select("writer", "batch_id").unionByName(_log(spark, path, at).select("writer", "batch_id"))
+    return known.filter(F.col("writer") == writer).agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+
+
 def stage(rows: DataFrame, path: str, writer: str, batch_id: int = 0, level: int = 0, table: Table = TRADE_TABLE) -> DataFrame:
     """Writes the batch's files and returns their log rows: until ``commit`` nobody sees them.
 
